@@ -1,4 +1,4 @@
 """Registered queries: each operator run over the given tables, with its check SQL."""
 
-from catalog.registry import CHECKS, QUERIES  # noqa: F401
-from catalog import rollups  # noqa: F401,E402
+from catalog.registry import QUERIES, checks  # noqa: F401
+from catalog import correlation, rollups, series, shapes  # noqa: F401,E402

@@ -17,4 +17,9 @@ def add(name: str, query: Callable[[SparkSession, str], DataFrame], check: str |
         raise ValueError(f"query {name} registered twice")
     QUERIES[name] = query
     if check is not None:
-        CHECKS[name] = sql(check)
+        CHECKS[name] = check
+
+
+def checks() -> dict[str, str]:
+    """Check SQL with the views each one needs in front."""
+    return {name: sql(text) for name, text in CHECKS.items()}
