@@ -149,10 +149,10 @@ add(
 )
 add(
     "order_by_score",
-    lambda s, d: rounded(T.decompose_anomalies(cpu_series(s, d), ["node_id"], 24)
+    lambda s, d: rounded(T.decompose_anomalies(cpu5_series(s, d), ["node_id"], 288)
                          .filter("flag != 0").select("node_id", "bin", "score"), score=4)
     .orderBy(F.col("score").desc(), "node_id", "bin").limit(20),
-    """SELECT node_id, bin, round(score, 4) + 0 AS score FROM cpu_scored WHERE flag <> 0
+    """SELECT node_id, bin, round(score, 4) + 0 AS score FROM cpu5_scored WHERE flag <> 0
        ORDER BY round(score, 4) DESC, node_id, bin LIMIT 20""",
 )
 add("series_forecast", lambda s, d: rounded(spool_forecast(s, d), forecast=4),
