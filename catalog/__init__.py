@@ -1,4 +1,4 @@
 """Registered queries: each operator run over the given tables, with its check SQL."""
 
 from catalog.registry import QUERIES, checks  # noqa: F401
-from catalog import correlation, kpis, rollups, series, shapes  # noqa: F401,E402
+from catalog import correlation, kpis, rollups, series, shapes, streams  # noqa: F401,E402
