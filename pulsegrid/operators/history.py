@@ -40,14 +40,14 @@ def upsert_table(
     from pulsegrid.session import materialize
     from pulsegrid.sources.storage import read_table, write_partitions
 
-    changes = materialize(changes, "upsert-changes")
+    changes = materialize(changes, "upsert-changes", name=path)
     touched = [r[0] for r in changes.select(partition).distinct().collect()]
     current = read_table(spark, path)
     if current is None:
         write_partitions(latest_wins(changes, keys, order), path, [partition])
         return
     merged = upsert_by_key(current.filter(F.col(partition).isin(touched)), changes, keys, order)
-    staged = materialize(merged, "upsert-merged", [partition])
+    staged = materialize(merged, "upsert-merged", [partition], name=path)
     write_partitions(staged, path, [partition])
 
 

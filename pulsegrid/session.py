@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -27,8 +28,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+_local_base: list[str] = []
+
+
+def shared_dir(spark: SparkSession, purpose: str, name: str | None = None) -> str:
+    """A folder below ``spark.checkpoint.dir``: fresh, or the same again for ``name``.
 
     Only a local session without that setting gets a temporary folder; a
     cluster session without it is refused, because executors could not see it.
@@ -39,18 +43,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="pulsegrid-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        if not _local_base:
+            _local_base.append(tempfile.mkdtemp(prefix="pulsegrid-"))
+        base = _local_base[0]
+    tail = uuid.uuid4().hex if name is None else hashlib.sha256(name.encode()).hexdigest()[:16]
+    return f"{base.rstrip('/')}/{purpose}-{tail}"
 
 
-def materialize(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, purpose: str, partition_by: list[str] | None = None, name: str | None = None
+) -> DataFrame:
     """Write once to the shared folder and read back, for inputs used many times.
 
     The written files replace the lineage, so a lost executor costs a re-read
-    and not a recomputation.
+    and not a recomputation. With ``name`` the files of the last use are replaced.
     """
-    path = shared_dir(df.sparkSession, purpose)
-    writer = df.write
+    path = shared_dir(df.sparkSession, purpose, name)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
