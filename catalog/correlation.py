@@ -43,20 +43,9 @@ add(
 )
 
 
-def _composite(s, d):
-    """One execution per (node, tracking id): the newest, so a start keeps one row."""
-    from pulsegrid.operators.dedup import latest_wins
-
-    newest = latest_wins(
-        B.executions(s, d), ["node_id", "tracking_id"],
-        [F.col("end_ts").desc(), F.col("request_id").desc()],
-    )
-    return J.start_exec_join_composite(B.starts(s, d), newest)
-
-
 add(
     "start_exec_join_composite",
-    _composite,
+    lambda s, d: J.start_exec_join_composite(B.starts(s, d), B.executions(s, d)),
     """SELECT s.node_id, s.tracking_id, s.request_id AS start_request_id,
        e.request_id AS exec_request_id, s.start_ts, e.end_ts,
        round(CASE WHEN spool_write_ms > 0 THEN CAST(spool_bytes AS DOUBLE) / spool_write_ms END, 4) AS write_bytes_per_ms,

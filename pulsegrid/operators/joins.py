@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pulsegrid.functions.scalars import bin_start
 from pulsegrid.functions.text import is_empty
 from pulsegrid.operators.dedup import earliest_per_key, latest_wins
+from pulsegrid.operators.lookup import lookup_join
 
 #: Monitoring operations that carry an owner.
 OWNER_OPERATIONS = ("QueryEnd", "ExecutionMetrics", "RefreshEnd")
@@ -42,24 +44,28 @@ def start_exec_join(executions: DataFrame, starts: DataFrame) -> DataFrame:
         "start_ts",
         ["artifact_id", "artifact_type"],
     )
-    return executions.join(right, "request_id", "left")
+    return lookup_join(executions, right, [("request_id", "request_id")])
 
 
 def start_exec_join_composite(starts: DataFrame, executions: DataFrame) -> DataFrame:
-    """Starts with their execution on (node, tracking id), plus spool rates."""
-    spooled = F.col("spool_bytes")
-    return (
-        starts.alias("s")
-        .join(executions.alias("e"), ["node_id", "tracking_id"], "left")
-        .select(
-            "node_id",
-            "tracking_id",
-            F.col("s.request_id").alias("start_request_id"),
-            F.col("e.request_id").alias("exec_request_id"),
-            F.col("s.start_ts"),
-            F.col("e.end_ts"),
-            *spool_rates(spooled, F.col("spool_write_ms"), F.col("spool_read_ms"), F.col("duration_ms")),
-        )
+    """Starts with the newest execution of their (node, tracking id), plus spool rates."""
+    newest = latest_wins(
+        executions, ["node_id", "tracking_id"], [F.col("end_ts").desc(), F.col("request_id").desc()]
+    ).select(
+        "node_id", "tracking_id", F.col("request_id").alias("exec_request_id"), "end_ts",
+        "spool_bytes", "spool_write_ms", "spool_read_ms", "duration_ms",
+    )
+    left = starts.select("node_id", "tracking_id", F.col("request_id").alias("start_request_id"), "start_ts")
+    return lookup_join(left, newest, [("node_id", "node_id"), ("tracking_id", "tracking_id")]).select(
+        "node_id",
+        "tracking_id",
+        "start_request_id",
+        "exec_request_id",
+        "start_ts",
+        "end_ts",
+        *spool_rates(
+            F.col("spool_bytes"), F.col("spool_write_ms"), F.col("spool_read_ms"), F.col("duration_ms")
+        ),
     )
 
 
@@ -111,7 +117,7 @@ def owner_per_operation(monitoring: DataFrame, workspaces: list | None = None) -
 def identity_left_join(executions: DataFrame, monitoring: DataFrame, workspaces: list | None = None) -> DataFrame:
     """Every execution once, with its owner where one is known."""
     right = owner_per_operation(monitoring, workspaces)
-    return executions.join(right, executions.request_id == right.operation_id, "left").drop("operation_id")
+    return lookup_join(executions, right, [("request_id", "operation_id")])
 
 
 def unattributed(executions: DataFrame, monitoring: DataFrame) -> DataFrame:
@@ -134,46 +140,36 @@ def case_insensitive_join(left: DataFrame, right: DataFrame, left_key: str, righ
 
 
 def dimension_lookup(facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join a dimension with one row per key.
-
-    No hint: the size of the dimension decides. Below the broadcast threshold it
-    is shipped to the tasks, beyond it adaptive execution splits hot keys.
-    """
-    return facts.join(dimension, key, how)
+    """Join a dimension with one row per key: broadcast by size, else hot keys are split."""
+    return lookup_join(facts, dimension, [(key, key)], how)
 
 
 def relationship_join(facts: DataFrame, dimension: DataFrame, fact_key: Column, dim_key: str) -> DataFrame:
     """Many-to-one model relationship: facts keep their rows."""
-    return facts.withColumn("_fk", fact_key).join(dimension, F.col("_fk") == F.col(dim_key), "left").drop("_fk")
+    copy = dimension.withColumn("_dim_key", F.col(dim_key))
+    return lookup_join(facts.withColumn("_fk", fact_key), copy, [("_fk", "_dim_key")]).drop("_fk")
 
 
 def inline_keys_join(keys: DataFrame, monitoring: DataFrame) -> DataFrame:
     """A list of request ids with the owner of each, or nulls."""
-    right = owner_per_operation(monitoring)
-    return keys.join(right, keys.request_id == right.operation_id, "left").drop("operation_id")
+    return lookup_join(keys, owner_per_operation(monitoring), [("request_id", "operation_id")])
 
 
 def multi_signal_join(failed: DataFrame, network: DataFrame, counters: DataFrame, bin_s: int = 300) -> DataFrame:
     """Failures with mean latency and mean CPU of the same node and 5-minute bin."""
-    from pulsegrid.functions.scalars import bin_start
-
     rtt = network.groupBy(
         F.col("host_id").alias("node_id"), bin_start(F.col("collected_at"), bin_s).alias("bin")
     ).agg(F.avg("latency_ms").alias("avg_latency_ms"))
     cpu = counters.groupBy("node_id", bin_start(F.col("counter_ts"), bin_s).alias("bin")).agg(
         F.avg("system_cpu").alias("avg_cpu_pct")
     )
-    return (
-        failed.withColumn("bin", bin_start(F.col("end_ts"), bin_s))
-        .join(rtt, ["node_id", "bin"], "left")
-        .join(cpu, ["node_id", "bin"], "left")
-    )
+    on = [("node_id", "node_id"), ("bin", "bin")]
+    binned = failed.withColumn("bin", bin_start(F.col("end_ts"), bin_s))
+    return lookup_join(lookup_join(binned, rtt, on), cpu, on)
 
 
 def capacity_overlay(usage: DataFrame, counters: DataFrame, bin_s: int = 3600) -> DataFrame:
     """Capacity seconds and node CPU on one time axis; either side may be missing."""
-    from pulsegrid.functions.scalars import bin_start
-
     cu = usage.groupBy(bin_start(F.col("usage_ts"), bin_s).alias("bin")).agg(
         F.round(F.sum("cu_seconds"), 4).alias("cu_seconds")
     )

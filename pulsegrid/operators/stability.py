@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.config import DEFAULTS, Settings
 from pulsegrid.functions.scalars import epoch
+from pulsegrid.operators.lookup import lookup_join
 from pulsegrid.operators.timeline import per_second, state_runs, sums_within, with_previous
 
 #: Service control events that mean a crash, a crash with a
@@ -38,14 +39,11 @@ def fires_in_window(fires: DataFrame, key: str, time: str, window_s: int) -> Dat
 
 def circuit_breaker(fires: DataFrame, key: str, time: str, cfg: Settings = DEFAULTS) -> DataFrame:
     """Every fire with its trailing count; too many fires suppress and escalate."""
-    counted = fires_in_window(fires, key, time, cfg.breaker_window_s)
-    joined = fires.alias("f").join(
-        counted.alias("c"),
-        (F.col(f"f.{key}") == F.col(f"c.{key}")) & (epoch(F.col(f"f.{time}")) == F.col("c.sec")),
-        "left",
-    )
-    over = F.coalesce(F.col("c.fires_in_window") > cfg.breaker_fires, F.lit(False))
-    return joined.select("f.*", "c.fires_in_window", over.alias("suppressed"), over.alias("escalate"))
+    counted = fires_in_window(fires, key, time, cfg.breaker_window_s).drop("fires")
+    timed = fires.withColumn("_sec", epoch(F.col(time)))
+    joined = lookup_join(timed, counted, [(key, key), ("_sec", "sec")]).drop("_sec")
+    over = F.coalesce(F.col("fires_in_window") > cfg.breaker_fires, F.lit(False))
+    return joined.withColumns({"suppressed": over, "escalate": over})
 
 
 def gaps(heartbeats: DataFrame, keys: list[str], time: str) -> DataFrame:

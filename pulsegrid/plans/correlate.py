@@ -9,6 +9,7 @@ from pulsegrid.functions import scalars as S
 from pulsegrid.functions import text as X
 from pulsegrid.operators import joins as J
 from pulsegrid.operators.dedup import dedup_executions, latest_wins
+from pulsegrid.operators.lookup import lookup_join
 from pulsegrid.operators.rollups import nic_representative, with_spool_flag
 from pulsegrid.operators.timejoin import nearest_match
 
@@ -80,7 +81,7 @@ def tiered_match(failures: DataFrame, refreshes: DataFrame | None, cfg: Settings
     )
     near = refreshes.select(F.struct(*columns).alias("near"), F.col("end_ts").alias("near_ts"), "request_id")
     matched = nearest_match(
-        failures.join(exact, "request_id", "left"),
+        lookup_join(failures, exact, [("request_id", "request_id")]),
         near,
         "end_ts",
         "near_ts",
@@ -155,10 +156,10 @@ def silver_triage(
     rows = host_event_match(tiered_match(base, refreshes, cfg), os_events, cfg)
     spike = F.lit(False)
     if latency is not None:
-        rows = rows.join(
+        rows = lookup_join(
+            rows,
             latency.select("request_id", "tracking_id", "latency_ms"),
-            ["request_id", "tracking_id"],
-            "left",
+            [("request_id", "request_id"), ("tracking_id", "tracking_id")],
         )
         spike = F.coalesce(F.col("latency_ms") > cfg.latency_ms, F.lit(False))
     return rows.withColumns(
@@ -296,7 +297,8 @@ def enriched_fact(
         gap_col="refresh_gap_s",
         forward_s=0,
     )
-    named = band.join(models, band.refresh_model_id == models.model_id, "left").withColumn(
+    copy = models.withColumn("_model", F.col("model_id"))
+    named = lookup_join(band, copy, [("refresh_model_id", "_model")]).withColumn(
         "model_key", F.lower("model_name")
     )
     return nearest_match(

@@ -22,7 +22,8 @@ def write_bronze(df: DataFrame, path: str, fmt: str = "parquet", partition: str
 
     New columns are simply written; readers merge the file schemas.
     """
-    writer = df.write.format(table_format(fmt)).mode("append").partitionBy(partition)
+    gathered = df.hint("rebalance", F.col(partition))
+    writer = gathered.write.format(table_format(fmt)).mode("append").partitionBy(partition)
     if fmt == "delta":
         writer = writer.option("mergeSchema", "true")
     writer.save(path)

@@ -32,3 +32,43 @@ def test_top_k_does_not_sort_everything(spark):
 def test_rank_filters_run_before_the_exchange(spark):
     plan = plan_of(entry.queries()["dedup_latest_wins"](spark, SF))
     assert "Partial" in plan.split("WindowGroupLimit")[2] or plan.count("WindowGroupLimit") >= 2
+
+
+def test_a_hot_key_is_split_over_tasks(spark):
+    """A third of the left rows on one key: the join of a deduplicated side must still split it."""
+    from pyspark.sql import functions as F
+
+    from pulsegrid.operators.dedup import latest_wins
+    from pulsegrid.operators.lookup import lookup_join
+    from pulsegrid.operators.timejoin import nearest_match
+
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in tight}
+    for key, value in tight.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 300_000, 1, 8)
+        left = ids.select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("k"),
+            F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)).alias("t"),
+            F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        )
+        right = spark.range(0, 20_000).select(
+            (F.col("id") % 1000).alias("rk"), F.col("id").alias("v"), F.timestamp_seconds(F.col("id")).alias("rt")
+        )
+        newest = latest_wins(right, ["rk"], [F.col("v").desc()]).select("rk", "v")
+        looked_up = lookup_join(left, newest, [("k", "rk")])
+        nearest = nearest_match(left, right, "t", "rt", 30, on=[("k", "rk")], payload=["v"])
+        for df in (looked_up, nearest):
+            assert len(df.collect()) == 300_000
+            assert "skew=true" in plan_of(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
