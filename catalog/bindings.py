@@ -112,6 +112,7 @@ FROM ev"""
 def starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query starts: the context as JSON text, as base64 of it, or empty."""
     k = F.col("k")
+    request = F.col("event_id") - F.when(F.col("event_id") % 10 == 9, 1).otherwise(0)
     text = F.concat(
         F.lit('{"artifactId":"'),
         (k % 6).cast("string"),
@@ -119,30 +120,27 @@ def starts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, "SemanticModel").otherwise("Dataflow"),
         F.lit('"}'),
     )
-    return (
-        ev(spark, sf_dir)
-        .filter(F.col("event_id") % 10 != 9)
-        .select(
-            F.col("event_id").alias("request_id"),
-            (F.col("event_id") % 97).alias("tracking_id"),
-            "node_id",
-            F.timestamp_seconds(F.unix_timestamp("ts") - 5).alias("start_ts"),
-            F.when(k % 4 == 3, "")
-            .when(k % 4 == 0, F.base64(text.cast("binary")))
-            .otherwise(text)
-            .alias("evaluation_context"),
-        )
+    return ev(spark, sf_dir).select(
+        request.alias("request_id"),
+        (request % 97).alias("tracking_id"),
+        "node_id",
+        F.timestamp_seconds(F.unix_timestamp("ts") - 5).alias("start_ts"),
+        F.when(k % 4 == 3, "")
+        .when(k % 4 == 0, F.base64(text.cast("binary")))
+        .otherwise(text)
+        .alias("evaluation_context"),
+        F.col("event_id").alias("record_id"),
     )
 
 
 VIEWS["starts"] = """
-SELECT event_id AS request_id, event_id % 97 AS tracking_id, node_id,
+SELECT r AS request_id, r % 97 AS tracking_id, node_id, event_id AS record_id,
        date_trunc('second', ts) - INTERVAL 5 SECOND AS start_ts,
        CASE WHEN k % 4 = 3 THEN '' WHEN k % 4 = 0 THEN to_base64(CAST(c AS BLOB)) ELSE c END
          AS evaluation_context
-FROM (SELECT *, '{"artifactId":"' || (k % 6) || '","artifactKind":"' ||
-        CASE WHEN k % 2 = 0 THEN 'SemanticModel' ELSE 'Dataflow' END || '"}' AS c FROM ev)
-WHERE event_id % 10 <> 9"""
+FROM (SELECT *, event_id - (CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END) AS r,
+        '{"artifactId":"' || (k % 6) || '","artifactKind":"' ||
+        CASE WHEN k % 2 = 0 THEN 'SemanticModel' ELSE 'Dataflow' END || '"}' AS c FROM ev)"""
 
 
 def refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:

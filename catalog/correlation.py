@@ -17,10 +17,13 @@ SELECT *, c::JSON->>'$.artifactId' AS artifact_id, c::JSON->>'$.artifactKind' AS
 FROM (SELECT *, CASE WHEN trim(evaluation_context) LIKE '{%' THEN trim(evaluation_context)
         WHEN trim(evaluation_context) = '' THEN NULL
         ELSE decode(from_base64(evaluation_context)) END AS c FROM starts)"""
+VIEWS["first_start"] = """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id
+  ORDER BY start_ts, artifact_id, artifact_type) AS rn FROM starts_decoded) WHERE rn = 1"""
 VIEWS["silver_exec"] = """
 SELECT e.* EXCLUDE (artifact_id), s.start_ts, s.artifact_id, s.artifact_type,
        e.spool_bytes > 0 AS is_spooled, CAST(e.end_ts AS DATE) AS partition_date
-FROM execs e LEFT JOIN starts_decoded s ON e.request_id = s.request_id"""
+FROM execs e LEFT JOIN first_start s ON e.request_id = s.request_id"""
 
 
 def silver(s, d):
@@ -30,8 +33,8 @@ def silver(s, d):
 add("silver_query_execution", silver, "SELECT * FROM silver_exec")
 add(
     "decode_context",
-    lambda s, d: C.decoded_starts(B.starts(s, d)).select("request_id", "artifact_id", "artifact_type"),
-    "SELECT request_id, artifact_id, artifact_type FROM starts_decoded",
+    lambda s, d: C.decoded_starts(B.starts(s, d)).select("record_id", "artifact_id", "artifact_type"),
+    "SELECT record_id, artifact_id, artifact_type FROM starts_decoded",
 )
 add(
     "start_exec_join",
@@ -39,7 +42,7 @@ add(
         execs(s, d).select("request_id", "tracking_id", "end_ts"), C.decoded_starts(B.starts(s, d))
     ),
     """SELECT e.request_id, e.tracking_id, e.end_ts, s.start_ts, s.artifact_id, s.artifact_type
-       FROM execs e LEFT JOIN starts_decoded s ON e.request_id = s.request_id""",
+       FROM execs e LEFT JOIN first_start s ON e.request_id = s.request_id""",
 )
 
 

@@ -391,11 +391,11 @@ add("relationship_join",
        FROM activities GROUP BY 1""")
 add("capacity_overlay",
     lambda s, d: J.capacity_overlay(
-        execs(s, d).filter("node_id = 0").select(F.col("end_ts").alias("usage_ts"), (F.col("duration_ms") / 1000.0).alias("cu_seconds")),
+        execs(s, d).select(F.col("end_ts").alias("usage_ts"), (F.col("duration_ms") / 1000.0).alias("cu_seconds")),
         B.counters(s, d)),
     """SELECT coalesce(a.bin, b.bin) AS bin, a.cu_seconds, b.system_cpu_avg FROM
        (SELECT date_trunc('hour', end_ts) AS bin, round(sum(duration_ms / CAST(1000 AS DOUBLE)), 4) AS cu_seconds
-        FROM execs WHERE node_id = 0 GROUP BY 1) a FULL JOIN
+        FROM execs GROUP BY 1) a FULL JOIN
        (SELECT date_trunc('hour', counter_ts) AS bin, round(avg(system_cpu), 4) AS system_cpu_avg FROM counters GROUP BY 1) b
        ON a.bin = b.bin""")
 

@@ -1,8 +1,9 @@
 """Value combinations that mark a failure spike, and dominant combinations.
 
-Rows are first counted per full combination, so the cube expands counts and not
-rows. A pattern fixes some columns and leaves the others open; patterns below the
-support bound are dropped at once, which leaves at most ``2^k / min_support``.
+A pattern fixes some columns and leaves the others open. A value that is rare in
+its column cannot be part of a supported pattern, so rare values are set aside
+before anything is combined: at most ``2 / min_support`` values per column are
+left, and the cube runs over the few combinations of those, not over rows.
 """
 
 from __future__ import annotations
@@ -10,53 +11,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _parts(cols: list[str], gid: str = "gid") -> list[Column]:
-    """``col=value`` for fixed columns, null for open ones."""
-    top = len(cols) - 1
-    return [
-        F.when(
-            F.col(gid).bitwiseAND(F.lit(1 << (top - i))) == 0,
-            F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("(null)"))),
-        )
-        for i, c in enumerate(cols)
-    ]
-
+def _part(name: str) -> Column:
+    return F.concat(F.lit(f"{name}="), F.coalesce(F.col(name).cast("string"), F.lit("(null)")))
 
-def _text(parts: list[Column]) -> Column:
-    return F.concat_ws(" & ", *parts)
 
+def _supported(df: DataFrame, spike: Column, cols: list[str], min_support: float) -> DataFrame:
+    """Patterns whose share reaches ``min_support`` on either side.
 
-def _fixed(cols: list[str], gid: str = "gid") -> Column:
-    return F.lit(len(cols)) - F.bit_count(gid)
+    Columns: ``parts`` (``col=value`` or null where open), ``pattern``, ``gid``,
+    counts and shares ``a``/``b``. The pattern with all columns open is included.
+    """
+    k = len(cols)
+    rows = df.select(spike.cast("int").alias("a"), (~spike).cast("int").alias("b"), *[_part(c).alias(c) for c in cols])
+    # every row has one value in the first column, so its counts add up to the totals
+    counts = (
+        rows.select("a", "b", F.posexplode(F.array(*cols)).alias("place", "value"))
+        .groupBy("place", "value")
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    )
+    first = counts.filter("place = 0")
+    totals = first.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("t")).scalar()
+
+    def shares(table: DataFrame) -> DataFrame:
+        share = lambda s: F.coalesce(F.try_divide(F.col(s).cast("double"), F.col("t")[s]), F.lit(0.0))
+        kept = table.withColumn("t", totals).withColumns({"share_a": share("a"), "share_b": share("b")})
+        return kept.filter((F.col("share_a") >= min_support) | (F.col("share_b") >= min_support)).drop("t")
+
+    frequent = shares(counts).agg(F.collect_set("value")).scalar()  # at most 2k / min_support texts
+    counted = (
+        rows.withColumn("frequent", frequent)
+        .select("a", "b", *[F.when(F.array_contains("frequent", F.col(c)), F.col(c)).alias(c) for c in cols])
+        .groupBy(*cols)
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    )
+    cubed = counted.cube(*cols).agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b"), F.grouping_id().cast("long").alias("gid")
+    )
+    fixed = [F.col("gid").bitwiseAND(F.lit(1 << (k - 1 - i))) == 0 for i in range(k)]
+    no_rare = F.lit(True)
+    for is_fixed, c in zip(fixed, cols):
+        no_rare &= ~is_fixed | F.col(c).isNotNull()
+    return (
+        shares(cubed.filter(no_rare))
+        .withColumn("parts", F.array(*[F.when(f, F.col(c)) for f, c in zip(fixed, cols)]))
+        .select("gid", "a", "b", "share_a", "share_b", "parts", F.concat_ws(" & ", "parts").alias("pattern"),
+                (F.lit(k) - F.bit_count("gid")).cast("int").alias("fixed_columns"))
+    )
 
 
-def diff_patterns(
-    df: DataFrame, spike: Column, cols: list[str], min_support: float = 0.05
-) -> DataFrame:
+def diff_patterns(df: DataFrame, spike: Column, cols: list[str], min_support: float = 0.05) -> DataFrame:
     """Patterns whose share differs between spike rows and the other rows.
 
     Kept when either share reaches ``min_support`` and no pattern with one fixed
     column less has the same two counts. Ranked by size of the difference.
     """
-    counted = df.groupBy(*cols).agg(
-        F.count_if(spike).alias("a"), F.count_if(~spike).alias("b")
-    )
-    cubed = counted.cube(*cols).agg(
-        F.sum("a").alias("spike_count"),
-        F.sum("b").alias("baseline_count"),
-        F.grouping_id().cast("long").alias("gid"),
-    )
-    totals = counted.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
-    share_a = F.coalesce(F.try_divide(F.col("spike_count"), totals.select("ta").scalar()), F.lit(0.0))
-    share_b = F.coalesce(
-        F.try_divide(F.col("baseline_count"), totals.select("tb").scalar()), F.lit(0.0)
-    )
-    supported = (
-        cubed.withColumns({"share_a": share_a, "share_b": share_b})
-        .filter((F.col("share_a") >= min_support) | (F.col("share_b") >= min_support))
-        .withColumn("parts", F.array(*_parts(cols)))
-        .withColumn("pattern", F.concat_ws(" & ", "parts"))
-    )
+    supported = _supported(df, spike, cols, min_support)
     parents = F.array(
         *[
             F.when(
@@ -67,17 +76,9 @@ def diff_patterns(
         ]
     )
     same_as_parent = (
-        supported.select("pattern", "spike_count", "baseline_count", F.explode(parents).alias("up"))
-        .filter(F.col("up").isNotNull())
-        .join(
-            supported.select(
-                F.col("pattern").alias("up"),
-                F.col("spike_count").alias("pa"),
-                F.col("baseline_count").alias("pb"),
-            ),
-            "up",
-        )
-        .filter((F.col("spike_count") == F.col("pa")) & (F.col("baseline_count") == F.col("pb")))
+        supported.select("pattern", "a", "b", F.explode(parents).alias("up"))
+        .join(supported.select(F.col("pattern").alias("up"), F.col("a").alias("pa"), F.col("b").alias("pb")), "up")
+        .filter((F.col("a") == F.col("pa")) & (F.col("b") == F.col("pb")))
         .select("pattern")
     )
     return (
@@ -85,9 +86,9 @@ def diff_patterns(
         .join(same_as_parent, "pattern", "left_anti")
         .select(
             "pattern",
-            _fixed(cols).cast("int").alias("fixed_columns"),
-            "spike_count",
-            "baseline_count",
+            "fixed_columns",
+            F.col("a").alias("spike_count"),
+            F.col("b").alias("baseline_count"),
             F.round(F.col("share_a") * 100.0, 2).alias("spike_pct"),
             F.round(F.col("share_b") * 100.0, 2).alias("baseline_pct"),
             F.round((F.col("share_a") - F.col("share_b")) * 100.0, 2).alias("difference_pct"),
@@ -96,9 +97,7 @@ def diff_patterns(
     )
 
 
-def auto_cluster(
-    df: DataFrame, cols: list[str], weight: float = 0.6, min_support: float = 0.05
-) -> DataFrame:
+def auto_cluster(df: DataFrame, cols: list[str], weight: float = 0.6, min_support: float = 0.05) -> DataFrame:
     """Dominant patterns of one set.
 
     score = coverage^weight * specificity^(1 - weight). Of two patterns where one
@@ -106,23 +105,13 @@ def auto_cluster(
     specific one.
     """
     k = len(cols)
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n")).scalar()
-    cubed = counted.cube(*cols).agg(
-        F.sum("n").alias("rows"), F.grouping_id().cast("long").alias("gid")
-    )
-    coverage = F.col("rows") / total
-    specificity = _fixed(cols) / F.lit(float(k))
+    specificity = F.col("fixed_columns") / F.lit(float(k))
     supported = (
-        cubed.filter(F.col("gid") != (1 << k) - 1)
-        .withColumn("coverage", coverage)
-        .filter(F.col("coverage") >= min_support)
-        .withColumn("parts", F.array(*_parts(cols)))
-        .withColumn("pattern", F.concat_ws(" & ", "parts"))
-        .withColumn("fixed", _fixed(cols))
+        _supported(df, F.lit(True), cols, min_support)
+        .filter(F.col("pattern") != "")
         .withColumn(
             "score",
-            F.round(F.pow("coverage", F.lit(weight)) * F.pow(specificity, F.lit(1.0 - weight)), 6),
+            F.round(F.pow("share_a", F.lit(weight)) * F.pow(specificity, F.lit(1.0 - weight)), 6),
         )
     )
     # every pattern that contains this one: open further columns, mask by mask
@@ -134,7 +123,7 @@ def auto_cluster(
     pairs = (
         supported.select("pattern", "gid", "score", "parts", masks)
         .filter((F.col("mask").bitwiseAND(F.col("gid")) == F.col("gid")) & (F.col("mask") != F.col("gid")))
-        .select("pattern", "score", _text(opened).alias("wider"))
+        .select("pattern", "score", F.concat_ws(" & ", *opened).alias("wider"))
         .join(supported.select(F.col("pattern").alias("wider"), F.col("score").alias("wider_score")), "wider")
     )
     wider_wins = F.col("wider_score") > F.col("score")
@@ -143,9 +132,9 @@ def auto_cluster(
         supported.join(losers, "pattern", "left_anti")
         .select(
             "pattern",
-            F.col("fixed").cast("int").alias("fixed_columns"),
-            "rows",
-            F.round(F.col("coverage") * 100.0, 2).alias("coverage_pct"),
+            "fixed_columns",
+            F.col("a").alias("rows"),
+            F.round(F.col("share_a") * 100.0, 2).alias("coverage_pct"),
             "score",
         )
         .orderBy(F.col("score").desc(), "pattern")
@@ -162,4 +151,3 @@ def signature_clusters(df: DataFrame, message: str) -> DataFrame:
         .groupBy(fingerprint(text).alias("signature_id"), normalize_statement(text).alias("signature"))
         .agg(F.count(F.lit(1)).alias("failures"), F.min(message).alias("example"))
     )
-
