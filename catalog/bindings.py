@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pulsegrid.session import prepare
 
@@ -17,6 +18,7 @@ AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 ORDERS_AS_OF = "2001-12-01 00:00:00"
 
 VIEWS: dict[str, str] = {}
+_SCHEMAS: dict[str, StructType] = {}  # the given tables do not change: read each footer once
 
 
 def as_of():
@@ -25,7 +27,11 @@ def as_of():
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One given table; zone-less timestamps become UTC timestamps at the scan."""
-    df = prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    reader = prepare(spark).read
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = reader.schema(_SCHEMAS[path]).parquet(path)
     zoneless = [n for n, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({n: F.col(n).cast("timestamp") for n in zoneless}) if zoneless else df
 

@@ -25,11 +25,17 @@ class StreamReader:
     def __init__(self, spark):
         self.spark = prepare(spark)
         self.read = self
+        self.declared = None
+
+    def schema(self, schema):
+        self.declared = schema
+        return self
 
     def parquet(self, path):
+        if self.declared is None:  # only the schema is asked for
+            return self.spark.read.parquet(path)
         folder, name = path.rsplit("/", 1)
-        schema = self.spark.read.parquet(path).schema
-        return self.spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+        return self.spark.readStream.schema(self.declared).option("pathGlobFilter", name).parquet(folder)
 
     def __getattr__(self, name):
         return getattr(self.spark, name)

@@ -96,6 +96,50 @@ REQUIRED = {
 }
 
 
+# Engine column -> name in the report model.
+REPORT_NAMES = {
+    "node_id": "GatewayObjectId",
+    "node_name": "GatewayNodeName",
+    "host_id": "HostName",
+    "cluster_id": "GatewayClusterId",
+    "cluster_name": "GatewayClusterName",
+    "version": "Version",
+    "request_id": "RequestId",
+    "tracking_id": "QueryTrackingId",
+    "data_source": "DataSource",
+    "query_type": "QueryType",
+    "error_message": "ErrorMessage",
+    "executing_user": "ExecutingUser",
+    "item_id": "ItemId",
+    "item_name": "ItemName",
+    "item_kind": "ItemKind",
+    "workspace_id": "WorkspaceId",
+    "workspace_name": "WorkspaceName",
+    "capacity_id": "CapacityId",
+    "capacity_name": "CapacityName",
+    "region": "Region",
+    "sku": "Sku",
+    "activity_id": "ActivityId",
+    "user_id": "UserId",
+    "operation": "Operation",
+    "activity_date": "ActivityDate",
+    "dataset_id": "DatasetId",
+    "dataset_name": "DatasetName",
+    "refresh_date": "RefreshDate",
+    "datasource_id": "DatasourceId",
+    "datasource_name": "DatasourceName",
+    "datasource_type": "DatasourceType",
+    "last_updated": "LastUpdated",
+    "status": "Status",
+    "partition_date": "_partition_date",
+}
+
+
+def report_names(df: DataFrame) -> DataFrame:
+    """Columns under the names the report model uses."""
+    return df.withColumnsRenamed(REPORT_NAMES)
+
+
 def schema_of(table: str) -> StructType:
     return StructType.fromDDL(REQUIRED[table])
 

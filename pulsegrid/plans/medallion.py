@@ -11,7 +11,7 @@ from pulsegrid.contracts import conform, contract_check, empty, schema_of
 from pulsegrid.operators import history, rollups as R
 from pulsegrid.operators.quality import FanoutGuard
 from pulsegrid.plans import correlate as C
-from pulsegrid.sources import landing as L
+from pulsegrid.sources import landing as L, tenant as T
 from pulsegrid.sources.storage import in_partitions, read_table, write_bronze, write_partitions
 
 
@@ -147,3 +147,13 @@ def build_gold(lake: Lake, as_of: Column, cfg: Settings = DEFAULTS) -> None:
     }
     for name, df in tables.items():
         lake.replace(contract_check(df, name), name)
+
+
+def build_tenant(lake: Lake, landing: str) -> None:
+    """Gold tables of the administration payloads, replaced as a whole."""
+    payloads = [
+        T.read_payload(lake.spark, f"{landing}/{name}_*.json", schema)
+        for name, schema in (("scanner_result", T.SCAN), ("activity_events", T.ACTIVITY), ("refreshables", T.REFRESHABLE))
+    ]
+    for table, df in T.tenant_gold(*payloads).items():
+        contract_check(df, table).write.format(lake.fmt).mode("overwrite").save(lake.path(table))

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_landing
+from pulsegrid.contracts import report_names
 from pulsegrid.operators.quality import FanoutGuard, table_presence_report
 from pulsegrid.plans import medallion as M
+from pulsegrid.sources.storage import read_table, with_provenance
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +76,24 @@ def test_fanout_guard_raises(spark, tmp_path):
     guard.after(rows.join(spark.range(2).withColumnRenamed("id", "x"), F.lit(True))).write.parquet(str(tmp_path / "x"))
     with pytest.raises(ValueError, match="6 rows from 3"):
         guard.check()
+
+
+def test_tenant_payloads_to_gold(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "scanner_result_1.json").write_text(
+        '{"workspaces": [{"id": "w", "name": "W", "capacityId": "c", "reports": [{"id": "r", "name": "R"}]}]}')
+    (tmp_path / "in" / "activity_events_1.json").write_text('[{"Id": "1", "UserId": "u", "CreationTime": "2024-03-05T10:11:12Z"}]')
+    (tmp_path / "in" / "refreshables_1.json").write_text('[{"id": "d", "name": "D"}]')
+    lake = M.Lake(spark, str(tmp_path / "lake"))
+    M.build_tenant(lake, str(tmp_path / "in"))
+    M.build_tenant(lake, str(tmp_path / "in"))
+    assert [lake.read(t).count() for t in ("gold_inventory", "gold_activities", "gold_refreshables")] == [1, 1, 1]
+    assert "ItemKind" in report_names(lake.read("gold_inventory")).columns
+
+
+def test_provenance_and_formats(spark, tmp_path):
+    spark.range(2).write.orc(str(tmp_path / "t"))
+    df = with_provenance(read_table(spark, str(tmp_path / "t"), "orc"), "agent", "1.2").first()
+    assert df.source_file.endswith(".orc") and (df.collector, df.collector_version) == ("agent", "1.2") and df.ingested_at
+    with pytest.raises(ValueError):
+        read_table(spark, "x", "csv")
