@@ -9,7 +9,7 @@ from catalog.bindings import AS_OF_SQL, VIEWS
 from catalog.correlation import attribution, triage
 from catalog.registry import add
 from catalog.rollups import execs, health, load
-from catalog.series import cpu5_series, rounded, spool_forecast
+from catalog.series import cpu5_series, spool_forecast
 from pulsegrid.config import DEFAULTS
 from pulsegrid.functions import scalars as S
 from pulsegrid.operators import history as K, rollups as R, series as T, stability as W

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog import bindings as B
-from catalog.bindings import VIEWS
+from catalog.bindings import AS_OF_SQL, VIEWS
 from catalog.registry import add
-from pulsegrid.operators import rollups as R
+from pulsegrid.operators import joins as J, rollups as R
 from pulsegrid.operators.dedup import dedup_executions
+from pulsegrid.plans import correlate as C
 
 VIEWS["execs"] = """
 SELECT * EXCLUDE (rn) FROM (
@@ -52,12 +55,6 @@ add(
 )
 
 # ---- health ---------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from catalog.bindings import AS_OF_SQL  # noqa: E402
-from pulsegrid.functions import scalars as S  # noqa: E402
-from pulsegrid.operators import joins as J  # noqa: E402
-from pulsegrid.plans import correlate as C  # noqa: E402
 
 VIEWS["health5"] = """
 SELECT node_id, time_bucket(INTERVAL 5 MINUTE, end_ts) AS window_start,

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from catalog import bindings as B
 from catalog.bindings import VIEWS
 from catalog.registry import add
-from catalog.rollups import execs  # noqa: F401  (defines the replay-free view)
 from pulsegrid.operators import history as K
 from pulsegrid.session import prepare, shared_dir
 from pulsegrid.sources.storage import read_table

@@ -22,10 +22,13 @@ def _supported(df: DataFrame, spike: Column, cols: list[str], min_support: float
     counts and shares ``a``/``b``. The pattern with all columns open is included.
     """
     k = len(cols)
-    rows = df.select(spike.cast("int").alias("a"), (~spike).cast("int").alias("b"), *[_part(c).alias(c) for c in cols])
+    slots = [f"v{i}" for i in range(k)]
+    rows = df.select(
+        spike.cast("int").alias("a"), (~spike).cast("int").alias("b"), *[_part(c).alias(v) for c, v in zip(cols, slots)]
+    )
     # every row has one value in the first column, so its counts add up to the totals
     counts = (
-        rows.select("a", "b", F.posexplode(F.array(*cols)).alias("place", "value"))
+        rows.select("a", "b", F.posexplode(F.array(*slots)).alias("place", "value"))
         .groupBy("place", "value")
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
@@ -40,20 +43,20 @@ def _supported(df: DataFrame, spike: Column, cols: list[str], min_support: float
     frequent = shares(counts).agg(F.collect_set("value")).scalar()  # at most 2k / min_support texts
     counted = (
         rows.withColumn("frequent", frequent)
-        .select("a", "b", *[F.when(F.array_contains("frequent", F.col(c)), F.col(c)).alias(c) for c in cols])
-        .groupBy(*cols)
+        .select("a", "b", *[F.when(F.array_contains("frequent", F.col(v)), F.col(v)).alias(v) for v in slots])
+        .groupBy(*slots)
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
-    cubed = counted.cube(*cols).agg(
+    cubed = counted.cube(*slots).agg(
         F.sum("a").alias("a"), F.sum("b").alias("b"), F.grouping_id().cast("long").alias("gid")
     )
     fixed = [F.col("gid").bitwiseAND(F.lit(1 << (k - 1 - i))) == 0 for i in range(k)]
     no_rare = F.lit(True)
-    for is_fixed, c in zip(fixed, cols):
-        no_rare &= ~is_fixed | F.col(c).isNotNull()
+    for is_fixed, v in zip(fixed, slots):
+        no_rare &= ~is_fixed | F.col(v).isNotNull()
     return (
         shares(cubed.filter(no_rare))
-        .withColumn("parts", F.array(*[F.when(f, F.col(c)) for f, c in zip(fixed, cols)]))
+        .withColumn("parts", F.array(*[F.when(f, F.col(v)) for f, v in zip(fixed, slots)]))
         .select("gid", "a", "b", "share_a", "share_b", "parts", F.concat_ws(" & ", "parts").alias("pattern"),
                 (F.lit(k) - F.bit_count("gid")).cast("int").alias("fixed_columns"))
     )

@@ -42,23 +42,23 @@ def with_previous(
     ``df`` has one row per (keys, sec). The row before the first one of a chunk
     is the last one of the previous non-empty chunk, taken from the summaries.
     """
-    chunked = df.withColumn("chunk", F.floor(F.col("sec") / F.lit(chunk_s)))
+    chunked = df.withColumn("_chunk", F.floor(F.col("sec") / F.lit(chunk_s)))
     carried = F.struct("sec", *values)
-    by_chunk = Window.partitionBy(*keys, "chunk").orderBy("sec")
-    local = chunked.withColumn("p", F.lag(carried).over(by_chunk))
-    over_chunks = Window.partitionBy(*keys).orderBy("chunk")
+    by_chunk = Window.partitionBy(*keys, "_chunk").orderBy("sec")
+    local = chunked.withColumn("_p", F.lag(carried).over(by_chunk))
+    over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     border = (
-        chunked.groupBy(*keys, "chunk")
-        .agg(F.max(carried).alias("last"))
-        .select(*keys, "chunk", F.lag("last").over(over_chunks).alias("before"))
+        chunked.groupBy(*keys, "_chunk")
+        .agg(F.max(carried).alias("_last"))
+        .select(*keys, "_chunk", F.lag("_last").over(over_chunks).alias("_before"))
     )
     return (
-        local.join(border, [*keys, "chunk"], "left")
-        .withColumn("p", F.coalesce("p", "before"))
+        local.join(border, [*keys, "_chunk"], "left")
+        .withColumn("_p", F.coalesce("_p", "_before"))
         .select(
             *df.columns,
-            F.col("p.sec").alias("prev_sec"),
-            *[F.col(f"p.{v}").alias(f"prev_{v}") for v in values],
+            F.col("_p.sec").alias("prev_sec"),
+            *[F.col(f"_p.{v}").alias(f"prev_{v}") for v in values],
         )
     )
 
@@ -72,43 +72,43 @@ def state_runs(df: DataFrame, keys: list[str], state: str, chunk_s: int = DAY) -
     """
     same = F.col(state).eqNullSafe(F.lag(state).over(_chunk_order(keys)))
     first = F.lag("sec").over(_chunk_order(keys)).isNull()
-    marked = df.withColumn("chunk", F.floor(F.col("sec") / F.lit(chunk_s))).withColumn(
-        "new", (first | ~same).cast("int")
+    marked = df.withColumn("_chunk", F.floor(F.col("sec") / F.lit(chunk_s))).withColumn(
+        "_new", (first | ~same).cast("int")
     )
-    numbered = marked.withColumn("run", F.sum("new").over(_chunk_order(keys)))
-    pieces = numbered.groupBy(*keys, "chunk", "run", state).agg(
-        F.min("sec").alias("s"), F.max("sec").alias("e"), F.count(F.lit(1)).alias("n")
+    numbered = marked.withColumn("_run", F.sum("_new").over(_chunk_order(keys)))
+    pieces = numbered.groupBy(*keys, "_chunk", "_run", state).agg(
+        F.min("sec").alias("_s"), F.max("sec").alias("_e"), F.count(F.lit(1)).alias("_n")
     )
-    chunk_all = Window.partitionBy(*keys, "chunk")
-    pieces = pieces.withColumn("last_run", F.max("run").over(chunk_all))
-    inner = pieces.filter((F.col("run") > 1) & (F.col("run") < F.col("last_run")))
-    outer = pieces.filter((F.col("run") == 1) | (F.col("run") == F.col("last_run")))
-    order = Window.partitionBy(*keys).orderBy("chunk", "run")
+    chunk_all = Window.partitionBy(*keys, "_chunk")
+    pieces = pieces.withColumn("_last_run", F.max("_run").over(chunk_all))
+    inner = pieces.filter((F.col("_run") > 1) & (F.col("_run") < F.col("_last_run")))
+    outer = pieces.filter((F.col("_run") == 1) | (F.col("_run") == F.col("_last_run")))
+    order = Window.partitionBy(*keys).orderBy("_chunk", "_run")
     joins_previous = F.col(state).eqNullSafe(F.lag(state).over(order)) & (
-        F.col("chunk") != F.lag("chunk").over(order)
+        F.col("_chunk") != F.lag("_chunk").over(order)
     )
     merged = (
-        outer.withColumn("brk", (~F.coalesce(joins_previous, F.lit(False))).cast("int"))
-        .withColumn("grp", F.sum("brk").over(order))
-        .groupBy(*keys, "grp", state)
-        .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"))
+        outer.withColumn("_brk", (~F.coalesce(joins_previous, F.lit(False))).cast("int"))
+        .withColumn("_grp", F.sum("_brk").over(order))
+        .groupBy(*keys, "_grp", state)
+        .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"))
     )
-    columns = [*keys, state, "s", "e", "n"]
+    columns = [*keys, state, "_s", "_e", "_n"]
     return (
         merged.select(*columns)
         .unionByName(inner.select(*columns))
         .select(
             *keys,
             state,
-            F.timestamp_seconds("s").alias("run_start"),
-            F.timestamp_seconds("e").alias("run_end"),
-            F.col("n").alias("polls"),
+            F.timestamp_seconds("_s").alias("run_start"),
+            F.timestamp_seconds("_e").alias("run_end"),
+            F.col("_n").alias("polls"),
         )
     )
 
 
 def _chunk_order(keys: list[str]) -> Window:
-    return Window.partitionBy(*keys, "chunk").orderBy("sec")
+    return Window.partitionBy(*keys, "_chunk").orderBy("sec")
 
 
 def sums_within(

@@ -80,8 +80,6 @@ def late_data_report(query: StreamingQuery) -> DataFrame:
         for p in query.recentProgress
         for i, s in enumerate(p["stateOperators"])
     ]
-    return query.sparkSession.createDataFrame(
-        rows, "batch_id bigint, step int, operator string, dropped_rows bigint, input_rows bigint"
-    ) if hasattr(query, "sparkSession") else SparkSession.active().createDataFrame(
+    return SparkSession.active().createDataFrame(
         rows, "batch_id bigint, step int, operator string, dropped_rows bigint, input_rows bigint"
     )
