@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,6 +21,14 @@ def fresh(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def ship(spark) -> None:
+    """Let Python workers find this package where it lies (a cluster without that path needs --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, found) if x)
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable], schema) -> DataFrame:
     """``make()`` runs once per task and returns batch -> batch (or None)."""
 
@@ -30,6 +39,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable], schema) -> DataFrame:
             if out is not None and out.num_rows:
                 yield out
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, frames
+from pulsegrid.llm import bpe, frames, orc_tokens, packing
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +26,22 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe_round_trip": op1_bpe_round_trip}
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_documents(spark, sf_dir).select("doc_id", "text"), path, with_ids=False)
+
+
+def op8_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = frames.shared_dir(spark, "token-orc")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    orc_tokens.write_tokens(_documents(spark, sf_dir), path, out)
+    rows = orc_tokens.digests(orc_tokens.read_tokens(spark, out))
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+QUERIES = {
+    "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op6_packing": op6_packing,
+    "op8_token_orc": op8_token_orc,
+}
 CHECKS: dict[str, str] = {}

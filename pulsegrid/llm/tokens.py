@@ -26,6 +26,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE_UNITS, CACHE_WORDS, LONGEST_KEPT = 300_000, 400_000, 48
 #: ASCII signs that form one run for the pre-tokenisers; the apostrophe opens contractions.
 SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+#: A unit that ends so closes a sentence; a line break does as well.
+SENTENCE_ENDS = (".", "!", "?")
 #: Characters that Python takes for white space and the library does not.
 _ODD = re.compile("[\x1c-\x1f]")
 _DOUBLE = re.compile(r"\s\s")
@@ -177,6 +179,21 @@ class Encoder:
         data = b"".join(found[0]) if found else self._library(text, self.tok)
         return np.frombuffer(data, "<i4")
 
+    def encode_with_ends(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids, and the token counts at which a sentence of the text ends (increasing)."""
+        found = self.parts(text) if text else None
+        if not found:
+            return self.encode(text), np.empty(0, np.int64)
+        parts, units = found
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
+        closing = [k for k, u in enumerate(units) if u.endswith(SENTENCE_ENDS)]
+        places = ends[closing].tolist()
+        if "\n" in text and self.kind == "byte":
+            for k, u in enumerate(units):
+                if k and "\n" in u and (head := u[: u.index("\n")]) and u.split() == u.split("\n"):
+                    places.append(int(ends[k - 1]) + len(self._split_unit(head, " ")) // 4)
+        return np.frombuffer(b"".join(parts), "<i4"), np.unique(np.array(places, np.int64))
+
     def encode_normal(self, text: str) -> np.ndarray:
         """The same for a plain text that is normalised already."""
         return np.frombuffer(b"".join(self.normal_parts(text)[0]), "<i4")
