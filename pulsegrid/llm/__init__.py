@@ -7,10 +7,10 @@ import corpus_pipeline
 
 def registered() -> tuple[dict, dict]:
     """(queries, check SQL) of all operators and of the pipeline."""
-    from pulsegrid.llm import queries_layout, queries_text, queries_tokens
+    from pulsegrid.llm import queries_layout, queries_pairs, queries_text, queries_tokens
 
     queries, checks = {}, {}
-    for module in (queries_tokens, queries_text, queries_layout):
+    for module in (queries_tokens, queries_text, queries_layout, queries_pairs):
         queries |= module.QUERIES
         checks |= module.CHECKS
     queries["pipeline"] = corpus_pipeline.run
