@@ -153,9 +153,12 @@ def join_tree(joiner: Joiner, pieces: list[tuple[str, np.ndarray]]) -> np.ndarra
 # -- operators --------------------------------------------------------------
 def encode(
     df: DataFrame, path: str, text: str = "text", ids: str = "ids",
-    long_chars: int = LONG_CHARS, leaf_chars: int = LEAF_CHARS,
+    long_chars: int = LONG_CHARS, leaf_chars: int = LEAF_CHARS, decoded: str | None = None,
 ) -> DataFrame:
-    """``df`` with the array<int> column ``ids``: the whole text's ids without special ones."""
+    """``df`` with the array<int> column ``ids``: the whole text's ids without special ones.
+
+    With ``decoded`` the ids are decoded again in the same pass, into that column.
+    """
     source = fresh(df, "text_in")
     ids_name = fresh(df, ids)
     base = df.withColumn(source, F.col(f"`{text}`"))
@@ -168,12 +171,16 @@ def encode(
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [enc.encode(x.as_py()) for x in batch.column(at)]
             kept = pa.RecordBatch.from_arrays(batch.columns[:at], batch.schema.names[:at])
-            return append(kept, **{ids_name: lists(found, pa.int32())})
+            back = {back_name: pa.array(map(enc.decode, found), pa.string())} if back_name else {}
+            return append(kept, **{ids_name: lists(found, pa.int32())}, **back)
 
         return step
 
-    near = map_arrow(base.filter(~is_long), short, with_schema(df, f"`{ids_name}` array<int>"))
-    return near.unionByName(_encode_long(df, base.filter(is_long), source, path, ids_name, leaf_chars))
+    back_name = decoded and fresh(df.withColumn(ids_name, F.lit(0)), decoded)
+    extra = f"`{ids_name}` array<int>" + (f", `{back_name}` string" if back_name else "")
+    near = map_arrow(base.filter(~is_long), short, with_schema(df, extra))
+    far = _encode_long(df, base.filter(is_long), source, path, ids_name, leaf_chars)
+    return near.unionByName(decode(far, path, ids_name, back_name) if back_name else far)
 
 
 def _encode_long(df, rows, source, path, ids_name, leaf_chars):

@@ -7,10 +7,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from pulsegrid.session import prepare, shared_dir  # noqa: F401
+from pulsegrid import session
+from pulsegrid.session import shared_dir
+
+#: Rows that one Arrow batch holds: texts are long, and a worker has a few batches alive.
+BATCH_ROWS = "1000"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's runtime settings, and batches of few rows."""
+    session.prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def fresh(df: DataFrame, wanted: str) -> str:

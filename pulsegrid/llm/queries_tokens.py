@@ -6,19 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import bpe, frames, orc_tokens, packing
-
-
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+from pulsegrid.llm import bpe, orc_tokens, packing
+from pulsegrid.llm.frames import documents, shared_dir
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    docs = _documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = bpe.encode(docs, path).drop("text")
-    back = bpe.decode(coded, path)
-    return back.select(
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return bpe.encode(docs, path, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -28,13 +23,13 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(_documents(spark, sf_dir).select("doc_id", "text"), path, with_ids=False)
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), path, with_ids=False)
 
 
 def op8_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = frames.shared_dir(spark, "token-orc")
+    out = shared_dir(spark, "token-orc")
     path = public_tokenizers.path("word_bpe_49k.json")
-    orc_tokens.write_tokens(_documents(spark, sf_dir), path, out)
+    orc_tokens.write_tokens(documents(spark, sf_dir), path, out)
     rows = orc_tokens.digests(orc_tokens.read_tokens(spark, out))
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 

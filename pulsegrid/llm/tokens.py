@@ -77,9 +77,8 @@ class Encoder:
         if self.kind == "word":
             self.plain = Tokenizer.from_file(path)
             self.plain.normalizer = normalizers.Sequence([])
-        merge = self._merger() if self.kind else None
-        self._merge = merge.encode_ordinary if merge else None
-        self._words = _Kept(self._ranked if merge else self._word, CACHE_WORDS)
+        self._merge = None
+        self._words = _Kept(self._first_word, CACHE_WORDS)
         self._units = _Kept(self._spaced if self.kind == "byte" else self._bare, CACHE_UNITS)
 
     # -- single units -------------------------------------------------------
@@ -114,6 +113,14 @@ class Encoder:
                 return None
         return merger
 
+    def _first_word(self, word: str) -> bytes:
+        """Build the merge loop when the first word asks for it: decoding alone needs none."""
+        merger = self._merger()
+        if merger:
+            self._merge = merger.encode_ordinary
+        self._words._compute = self._ranked if merger else self._word
+        return self._words._compute(word)
+
     def _ranked(self, word: str) -> bytes:
         ids = self._merge(word + "\0" if self.suffix else word)
         return pack(f"<{len(ids)}i", *ids)
