@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import simhash
-from pulsegrid.llm.frames import documents
+from pulsegrid.llm import simhash, vptree
+from pulsegrid.llm.frames import documents, prepare
 
 
 def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +16,13 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_simhash_groups": op3_simhash_groups}
+def op2_vp_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vptree.valid_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
+    return vptree.nearest(rows, rows.filter("id % 20 = 0"), k=20)
+
+
+QUERIES = {
+    "op2_vp_tree_neighbours": op2_vp_tree_neighbours,
+    "op3_simhash_groups": op3_simhash_groups,
+}
 CHECKS: dict[str, str] = {}
