@@ -1,11 +1,11 @@
-"""Registered queries of the similarity operators (2, 3)."""
+"""Registered queries of the similarity operators (2, 3, 9)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import simhash, vptree
+from pulsegrid.llm import simhash, suffixes, vptree
 from pulsegrid.llm.frames import documents, prepare
 
 
@@ -21,7 +21,12 @@ def op2_vp_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(rows, rows.filter("id % 20 = 0"), k=20)
 
 
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_report(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {
+    "op9_suffix_repeats": op9_suffix_repeats,
     "op2_vp_tree_neighbours": op2_vp_tree_neighbours,
     "op3_simhash_groups": op3_simhash_groups,
 }
