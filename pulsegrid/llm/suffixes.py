@@ -367,7 +367,9 @@ def _hot_entries(work: DataFrame, hot: DataFrame) -> DataFrame:
         .select("digest", "places", F.lit(0).alias("unused"), "text")
     )
     strings = written(map_arrow(mine, make, "digest binary, place long, shift int, h long, c long"), "suffix-hot")
-    twice = strings.groupBy("h", "c").count().filter("count > 1").select("h", "c")
+    # one start may be seen from several anchors, so starts are compared and not counted
+    start = F.struct("digest", F.col("place") - F.col("shift"))
+    twice = strings.groupBy("h", "c").agg(F.min(start).alias("a"), F.max(start).alias("b")).filter("a <> b").select("h", "c")
     return (
         strings.join(twice, ["h", "c"]).groupBy("digest", "place")
         .agg(F.max("shift").cast("long").alias("reach_l"), (LENGTH - F.min("shift")).cast("long").alias("reach_r"))
