@@ -261,7 +261,7 @@ add("alert_spool_forecast", lambda s, d: A.spool_forecast(spool_forecast(s, d)),
               """(SELECT host_id, min(forecast) AS lowest, min(bin) FILTER (WHERE forecast < 10) AS first_breach
                   FROM spool_forecast GROUP BY 1 HAVING min(forecast) < 10)"""))
 DRIFT_SQL = alert_sql(
-    "credential-drift", "datasource_id", "run_start", "'warning'", "polls",
+    "credential-drift", "datasource_id", "third_at", "'warning'", "polls",
     f"'Datasource ' || {txt('datasource_id')} || ' not live for the last ' || {txt('polls')} || ' collection intervals.'",
     "poll_runs WHERE bad AND polls >= 3")
 add("alert_credential_drift", lambda s, d: A.credential_drift(B.datasource_polls(s, d)), DRIFT_SQL)

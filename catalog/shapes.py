@@ -151,12 +151,12 @@ add("disk_alert_level",
        CASE WHEN round(CAST(free_bytes AS DOUBLE) / total_bytes * 100, 4) <= 5 THEN 'ERROR'
             WHEN round(CAST(free_bytes AS DOUBLE) / total_bytes * 100, 4) <= 15 THEN 'WARNING' ELSE 'OK' END AS alert_level FROM spool""")
 add("counter_delta_rate", lambda s, d: W.counter_delta_rate(B.processes(s, d)),
-    """SELECT host_id, process_id, TIMESTAMP '1970-01-01 00:00:00' + sec * INTERVAL 1 SECOND AS at,
-       round(greatest(0, c - lag_c) / (sec - lag_s) / CAST(4 AS DOUBLE) * 100, 4) AS cpu_pct FROM (
-       SELECT *, lag(sec) OVER w AS lag_s, lag(c) OVER w AS lag_c FROM (
-         SELECT host_id, process_id, CAST(floor(epoch(collected_at)) AS BIGINT) AS sec,
-           last(cpu_seconds ORDER BY collected_at, cpu_seconds) AS c FROM processes GROUP BY 1, 2, 3)
-       WINDOW w AS (PARTITION BY host_id, process_id ORDER BY sec)) WHERE lag_s IS NOT NULL""")
+    """SELECT host_id, process_id, collected_at AS at,
+       round(greatest(0, cpu_seconds - lag_c) / ((epoch_us(collected_at) - lag_us) / CAST(1000000 AS DOUBLE)) / CAST(4 AS DOUBLE) * 100, 4)
+         AS cpu_pct FROM (
+       SELECT *, epoch_us(lag(collected_at) OVER w) AS lag_us, lag(cpu_seconds) OVER w AS lag_c FROM processes
+       WINDOW w AS (PARTITION BY host_id, process_id ORDER BY collected_at, cpu_seconds))
+       WHERE epoch_us(collected_at) > lag_us""")
 add("time_gap_seconds",
     lambda s, d: B.refreshes(s, d).select("request_id", "start_ts", S.gap_seconds(F.col("start_ts"), F.col("end_ts")).alias("gap_s"),
                                           F.round(S.minutes_between(F.col("start_ts"), F.col("end_ts")), 4).alias("minutes")),
@@ -248,14 +248,14 @@ add("datasource_latest",
        ORDER BY collected_at DESC, record_id DESC) AS rn FROM datasource_polls) WHERE rn = 1""")
 SEC = "CAST(floor(epoch({})) AS BIGINT)"
 TO_TS = "TIMESTAMP '1970-01-01 00:00:00' + {} * INTERVAL 1 SECOND"
-VIEWS["poll_secs"] = f"""
-SELECT datasource_id, {SEC.format('collected_at')} AS sec,
-  last(status <> 'Live' ORDER BY collected_at, record_id) AS bad FROM datasource_polls GROUP BY 1, 2"""
+VIEWS["poll_order"] = f"""
+SELECT datasource_id, {SEC.format('collected_at')} AS sec, collected_at, record_id, status <> 'Live' AS bad FROM datasource_polls"""
 VIEWS["poll_runs"] = f"""
-SELECT datasource_id, bad, {TO_TS.format('min(sec)')} AS run_start, {TO_TS.format('max(sec)')} AS run_end, count(*) AS polls
-FROM (SELECT *, sum(new) OVER (PARTITION BY datasource_id ORDER BY sec) AS run FROM (
-  SELECT *, CASE WHEN bad IS DISTINCT FROM lag(bad) OVER (PARTITION BY datasource_id ORDER BY sec) THEN 1 ELSE 0 END AS new
-  FROM poll_secs)) GROUP BY datasource_id, bad, run"""
+SELECT datasource_id, bad, {TO_TS.format('min(sec)')} AS run_start, {TO_TS.format('max(sec)')} AS run_end, count(*) AS polls,
+  {TO_TS.format('list(sec ORDER BY collected_at, record_id)[3]')} AS third_at
+FROM (SELECT *, sum(new) OVER (PARTITION BY datasource_id ORDER BY collected_at, record_id) AS run FROM (
+  SELECT *, CASE WHEN bad IS DISTINCT FROM lag(bad) OVER (PARTITION BY datasource_id ORDER BY collected_at, record_id)
+    THEN 1 ELSE 0 END AS new FROM poll_order)) GROUP BY datasource_id, bad, run"""
 
 
 def polls(s, d):
@@ -264,7 +264,7 @@ def polls(s, d):
 
 add("consecutive_state_run",
     lambda s, d: W.consecutive_bad(polls(s, d), ["datasource_id"], "collected_at", ["record_id"], "bad", 3),
-    "SELECT datasource_id, run_start, run_end, polls FROM poll_runs WHERE bad AND polls >= 3")
+    "SELECT datasource_id, run_start, run_end, polls, third_at AS fired_at FROM poll_runs WHERE bad AND polls >= 3")
 add("state_transition",
     lambda s, d: W.state_transitions(polls(s, d), ["datasource_id"], "collected_at", ["record_id"], "bad"),
     "SELECT datasource_id, run_start AS fired_at FROM poll_runs WHERE bad")
@@ -412,14 +412,16 @@ add("upsert_by_key",
        SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY node_id, window_start ORDER BY rev DESC) AS rn FROM h)
        WHERE rn = 1""")
 VIEWS["versions"] = f"""
-SELECT node_id, version, status, valid_from, lead(valid_from) OVER (PARTITION BY node_id ORDER BY valid_from) AS valid_to,
-  lead(valid_from) OVER (PARTITION BY node_id ORDER BY valid_from) IS NULL AS is_current FROM (
-  SELECT node_id, v.version AS version, v.status AS status, {TO_TS.format('min(sec)')} AS valid_from FROM (
-    SELECT *, sum(new) OVER (PARTITION BY node_id ORDER BY sec) AS run FROM (
-      SELECT *, CASE WHEN v IS DISTINCT FROM lag(v) OVER (PARTITION BY node_id ORDER BY sec) THEN 1 ELSE 0 END AS new FROM (
-        SELECT node_id, {SEC.format('collected_at')} AS sec,
-          last({{'version': version, 'status': status}} ORDER BY collected_at, record_id) AS v FROM inventory GROUP BY 1, 2)))
-  GROUP BY node_id, v, run)"""
+SELECT node_id, version, status, {TO_TS.format('from_sec')} AS valid_from, {TO_TS.format('next_sec')} AS valid_to,
+  next_sec IS NULL AS is_current FROM (
+  SELECT *, lead(from_sec) OVER (PARTITION BY node_id ORDER BY run) AS next_sec FROM (
+    SELECT node_id, run, v.version AS version, v.status AS status, min(sec) AS from_sec FROM (
+      SELECT *, sum(new) OVER (PARTITION BY node_id ORDER BY collected_at, record_id) AS run FROM (
+        SELECT *, CASE WHEN v IS DISTINCT FROM lag(v) OVER (PARTITION BY node_id ORDER BY collected_at, record_id)
+          THEN 1 ELSE 0 END AS new FROM (
+          SELECT node_id, collected_at, record_id, {SEC.format('collected_at')} AS sec,
+            {{'version': version, 'status': status}} AS v FROM inventory)))
+    GROUP BY node_id, v, run))"""
 
 
 def versions(s, d):

@@ -74,16 +74,16 @@ def _stream_join(s, d):
     left = streamed(B.executions, s, d).filter(~F.col("success")).select("request_id", "end_ts", "node_id")
     right = streamed(B.refreshes, s, d).select(
         F.col("request_id").alias("operation_id"), F.col("end_ts").alias("mon_ts"), "dataset_id")
-    joined = finished(s, H.identity_join(left, right, "5 minutes"), "join")
-    # the last day may still be open when the stream ends
-    return joined.filter(F.col("end_ts") < F.lit("2024-01-30").cast("timestamp"))
+    return finished(s, H.identity_join(left, right, "5 minutes"), "join")
 
 
 add("stream_identity_join", _stream_join,
-    """SELECT e.request_id, e.end_ts, e.node_id, r.request_id AS operation_id, r.end_ts AS mon_ts, r.dataset_id
+    """WITH wm AS (SELECT least((SELECT max(end_ts) FROM executions WHERE NOT success), (SELECT max(end_ts) FROM refreshes))
+         - INTERVAL 10 MINUTE AS t)
+       SELECT e.request_id, e.end_ts, e.node_id, r.request_id AS operation_id, r.end_ts AS mon_ts, r.dataset_id
        FROM executions e LEFT JOIN refreshes r ON e.request_id = r.request_id
          AND r.end_ts >= e.end_ts AND r.end_ts <= e.end_ts + INTERVAL 5 MINUTE
-       WHERE NOT e.success AND e.end_ts < TIMESTAMP '2024-01-30 00:00:00'""")
+       WHERE NOT e.success AND (r.request_id IS NOT NULL OR e.end_ts + INTERVAL 5 MINUTE < (SELECT t FROM wm))""")
 add("stream_offline_detector",
     lambda s, d: finished(
         s, H.offline_events(streamed(B.inventory, s, d).filter("status = 'Live'"), "3 hours"), "offline"),
@@ -103,9 +103,10 @@ def _stream_bad(s, d):
 
 
 VIEWS["third_bad"] = """
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY datasource_id, run ORDER BY sec) AS nth,
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY datasource_id, run ORDER BY collected_at, record_id) AS nth,
     min(sec) OVER (PARTITION BY datasource_id, run) AS started FROM (
-  SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY datasource_id ORDER BY sec) AS run FROM poll_secs)
+  SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY datasource_id ORDER BY collected_at, record_id) AS run
+  FROM poll_order)
   WHERE bad) WHERE nth = 3"""
 add("stream_consecutive_bad", _stream_bad,
     """SELECT datasource_id, started AS run_start_s, sec AS fired_at_s, 3 AS polls FROM third_bad

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsegrid.config import DEFAULTS, Settings
 from pulsegrid.operators.dedup import latest_wins
-from pulsegrid.operators.timeline import per_second, state_runs, with_previous
+from pulsegrid.operators.timeline import DENSE, state_runs, timed, with_previous
 
 
 def tagged_union(parts: dict[str, DataFrame], label: str) -> DataFrame:
@@ -55,19 +55,18 @@ def scd2_history(
     snapshots: DataFrame, key: str, time: str, tie: list[str], attributes: list[str]
 ) -> DataFrame:
     """Versions of ``attributes`` per key: valid_from, valid_to, is_current."""
-    polls = per_second(snapshots, [key], time, tie, attributes).select(
-        key, "sec", F.struct(*attributes).alias("version_row")
+    polls = timed(snapshots, [key], time, tie, attributes).select(
+        key, "sec", "ord", F.struct(*attributes).alias("version_row")
     )
-    runs = state_runs(polls, [key], "version_row").select(
-        key, "version_row", "run_start", (-F.unix_timestamp("run_start")).alias("sec")
+    runs = state_runs(polls, [key], "version_row", DENSE, "ord").select(
+        key, "version_row", "run_start", "ord", F.unix_timestamp("run_start").alias("sec")
     )
-    # the next version is the previous one on the reversed time line
-    chained = with_previous(runs, [key], [])
+    chained = with_previous(runs, [key], [], order="ord", following=True)
     return chained.select(
         key,
         *[F.col(f"version_row.{a}").alias(a) for a in attributes],
         F.col("run_start").alias("valid_from"),
-        F.timestamp_seconds(-F.col("prev_sec")).alias("valid_to"),
+        F.timestamp_seconds("prev_sec").alias("valid_to"),
         F.col("prev_sec").isNull().alias("is_current"),
     )
 

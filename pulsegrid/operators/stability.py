@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from pulsegrid.config import DEFAULTS, Settings
 from pulsegrid.functions.scalars import epoch
 from pulsegrid.operators.lookup import lookup_join
-from pulsegrid.operators.timeline import per_second, state_runs, sums_within, with_previous
+from pulsegrid.operators.timeline import DENSE, state_runs, sums_within, timed, with_previous
 
 #: Service control events that mean a crash, a crash with a
 #: recovery action, and a state change.
@@ -15,14 +15,14 @@ SERVICE_EVENTS = (7031, 7034, 7036)
 
 
 def consecutive_bad(polls: DataFrame, keys: list[str], time: str, tie: list[str], bad: str, n: int) -> DataFrame:
-    """Runs of at least ``n`` polls in a row with a true ``bad`` column."""
-    runs = state_runs(per_second(polls, keys, time, tie, [bad]), keys, bad)
-    return runs.filter(F.col(bad) & (F.col("polls") >= n)).drop(bad)
+    """Runs of at least ``n`` polls in a row with a true ``bad`` column; ``fired_at`` is the n-th poll."""
+    runs = state_runs(timed(polls, keys, time, tie, [bad]), keys, bad, DENSE, "ord", n)
+    return runs.filter(F.col(bad) & (F.col("polls") >= n)).drop(bad, "ord").withColumnRenamed("nth_at", "fired_at")
 
 
 def state_transitions(polls: DataFrame, keys: list[str], time: str, tie: list[str], condition: str) -> DataFrame:
     """Times at which the condition turns true, also at the first poll of a key."""
-    seen = with_previous(per_second(polls, keys, time, tie, [condition]), keys, [condition])
+    seen = with_previous(timed(polls, keys, time, tie, [condition]), keys, [condition], DENSE, "ord")
     turned = F.col(condition) & ~F.coalesce(F.col(f"prev_{condition}"), F.lit(False))
     return seen.filter(turned).select(*keys, F.timestamp_seconds("sec").alias("fired_at"))
 
@@ -78,33 +78,51 @@ def service_stability(os_events: DataFrame) -> DataFrame:
 
 
 def rolling_stats(df: DataFrame, key: str, time: str, value: str, window_s: int = 900) -> DataFrame:
-    """Per (key, second): count, mean and deviation over the trailing window."""
+    """Per (key, second): count, mean and deviation over the trailing window.
+
+    Running totals add and take off values, which loses all digits of a deviation
+    that is small beside the values. So the totals are of differences to the key's
+    mean, in parts of the key's range and as decimals, where adding and taking off is exact.
+    """
     v = F.col(value).cast("double")
+    known = df.filter(v.isNotNull() & ~F.isnan(v)).dropna(subset=[key])
+    spread = F.max(v) - F.min(v)
+    centre = known.groupBy(F.col(key).alias("_key")).agg(
+        F.avg(v).alias("_centre"), F.when(spread > 0, spread).otherwise(1.0).alias("_range")
+    )
+    exact = "decimal(38, 18)"
+    off = (v - F.col("_centre")) / F.col("_range")
     per_sec = (
-        df.filter(v.isNotNull())
+        lookup_join(known, centre, [(key, "_key")])
         .groupBy(key, epoch(F.col(time)).alias("sec"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(off.cast(exact)).cast(exact).alias("s"),
+             F.sum((off * off).cast(exact)).cast(exact).alias("q"))
         .dropna()
     )
     sums = sums_within(per_sec, per_sec, [key], ["n", "s", "q"], window_s, 0)
-    variance = (F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)
-    return sums.select(
+    total, squares = F.col("s").cast("double"), F.col("q").cast("double")
+    variance = (squares - total * total / F.col("n")) / (F.col("n") - 1)
+    return lookup_join(sums, centre, [(key, "_key")]).select(
         key,
         F.timestamp_seconds("sec").alias("at"),
         F.col("n").alias("samples"),
-        F.round(F.col("s") / F.col("n"), 3).alias("mean"),
-        F.round(F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))), 3).alias("deviation"),
+        F.round(F.col("_centre") + total / F.col("n") * F.col("_range"), 3).alias("mean"),
+        F.round(F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0))) * F.col("_range")), 3).alias("deviation"),
     )
 
 
 def counter_delta_rate(samples: DataFrame, cores: int = 4) -> DataFrame:
-    """CPU percent per process from two cumulative readings, never negative."""
+    """CPU percent per process from each two cumulative readings in a row, never negative.
+
+    Two readings of the same instant have no rate; the later pair starts at the higher one.
+    """
     keys = ["host_id", "process_id"]
-    latest = per_second(samples, keys, "collected_at", [], ["cpu_seconds"])
-    pairs = with_previous(latest, keys, ["cpu_seconds"]).filter(F.col("prev_sec").isNotNull())
+    readings = timed(samples, keys, "collected_at", ["cpu_seconds"], ["cpu_seconds", "collected_at"])
+    pairs = with_previous(readings, keys, ["cpu_seconds", "collected_at"], DENSE, "ord")
     used = F.greatest(F.lit(0.0), F.col("cpu_seconds") - F.col("prev_cpu_seconds"))
-    return pairs.select(
+    micros = F.unix_micros("collected_at") - F.unix_micros("prev_collected_at")
+    return pairs.filter(micros > 0).select(
         *keys,
-        F.timestamp_seconds("sec").alias("at"),
-        F.round(used / (F.col("sec") - F.col("prev_sec")) / F.lit(cores) * 100.0, 4).alias("cpu_pct"),
+        F.col("collected_at").alias("at"),
+        F.round(used / (micros / F.lit(1e6)) / F.lit(cores) * 100.0, 4).alias("cpu_pct"),
     )

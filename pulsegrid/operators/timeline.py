@@ -1,9 +1,10 @@
 """Ordered-in-time operators whose groups stay bounded.
 
 A node can own a third of all rows, so nothing here sorts "all rows of one
-key". Rows are first folded to one per (key, second); then every sort runs on
-(key, chunk of time), which holds at most one row per second of the chunk.
-What has to cross a chunk border travels as one summary row per chunk.
+key". Every sort runs on (key, chunk of time); what has to cross a chunk border
+travels as a summary row per chunk. Rows are either folded to one per (key,
+second), where only the latest counts (``per_second``), or all kept in the order of
+their time and ties (``timed``); the latter use shorter chunks.
 """
 
 from __future__ import annotations
@@ -13,6 +14,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pulsegrid.functions.scalars import epoch
 
 DAY = 86400
+#: Chunk of operators that keep every row.
+DENSE = 600
+
+
+def timed(df: DataFrame, keys: list[str], time: str, tie: list[str], values: list[str]) -> DataFrame:
+    """Every row with a key and a time: keys, ``sec``, ``ord`` (time, then ties) and the values."""
+    known = df.dropna(subset=[*keys, time])
+    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([time, *tie])])
+    return known.select(*keys, epoch(F.col(time)).alias("sec"), order.alias("ord"), *values)
 
 
 def per_second(
@@ -35,26 +45,28 @@ def per_second(
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], values: list[str], chunk_s: int = DAY
+    df: DataFrame, keys: list[str], values: list[str], chunk_s: int = DAY, order: str = "sec", following: bool = False,
 ) -> DataFrame:
-    """Add ``prev_sec`` and ``prev_<value>`` of the row before, per key.
+    """Add ``prev_sec`` and ``prev_<value>`` of the row before, per key; with ``following`` of the row behind.
 
-    ``df`` has one row per (keys, sec). The row before the first one of a chunk
-    is the last one of the previous non-empty chunk, taken from the summaries.
+    Rows of a key are ordered by ``order``, which grows with ``sec``. The row before
+    the first one of a chunk is the last one of the previous non-empty chunk, taken
+    from the summaries.
     """
     chunked = df.withColumn("_chunk", F.floor(F.col("sec") / F.lit(chunk_s)))
-    carried = F.struct("sec", *values)
-    by_chunk = Window.partitionBy(*keys, "_chunk").orderBy("sec")
-    local = chunked.withColumn("_p", F.lag(carried).over(by_chunk))
+    carried = F.struct(*dict.fromkeys([order, "sec", *values]))
+    step, edge = (F.lead, F.min) if following else (F.lag, F.max)
+    by_chunk = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    local = chunked.withColumn("_p", step(carried).over(by_chunk))
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     border = (
         chunked.groupBy(*keys, "_chunk")
-        .agg(F.max(carried).alias("_last"))
-        .select(*keys, "_chunk", F.lag("_last").over(over_chunks).alias("_before"))
+        .agg(edge(carried).alias("_edge"))
+        .select(*keys, "_chunk", step("_edge").over(over_chunks).alias("_beyond"))
     )
     return (
         local.join(border, [*keys, "_chunk"], "left")
-        .withColumn("_p", F.coalesce("_p", "_before"))
+        .withColumn("_p", F.coalesce("_p", "_beyond"))
         .select(
             *df.columns,
             F.col("_p.sec").alias("prev_sec"),
@@ -63,37 +75,51 @@ def with_previous(
     )
 
 
-def state_runs(df: DataFrame, keys: list[str], state: str, chunk_s: int = DAY) -> DataFrame:
+def state_runs(
+    df: DataFrame, keys: list[str], state: str, chunk_s: int = DAY, order: str = "sec", nth: int | None = None
+) -> DataFrame:
     """Maximal runs of equal ``state``: keys, state, run_start, run_end, polls.
 
-    ``df`` has one row per (keys, sec). Runs are built inside each chunk; only
-    the first and the last run of a chunk can continue elsewhere, so at most two
-    rows per chunk take part in the merge across chunks.
+    Rows of a key are ordered by ``order``, which grows with ``sec``; where it is
+    another column, the run's first value of it is returned too. With ``nth`` the
+    time of the run's n-th row comes as ``nth_at``. Runs are built inside each chunk;
+    only the first and the last run of a chunk can continue elsewhere, so at most
+    two rows per chunk take part in the merge across chunks.
     """
-    same = F.col(state).eqNullSafe(F.lag(state).over(_chunk_order(keys)))
-    first = F.lag("sec").over(_chunk_order(keys)).isNull()
+    own = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    same = F.col(state).eqNullSafe(F.lag(state).over(own))
+    first = F.row_number().over(own) == 1
     marked = df.withColumn("_chunk", F.floor(F.col("sec") / F.lit(chunk_s))).withColumn(
         "_new", (first | ~same).cast("int")
     )
-    numbered = marked.withColumn("_run", F.sum("_new").over(_chunk_order(keys)))
-    pieces = numbered.groupBy(*keys, "_chunk", "_run", state).agg(
-        F.min("sec").alias("_s"), F.max("sec").alias("_e"), F.count(F.lit(1)).alias("_n")
-    )
+    numbered = marked.withColumn("_run", F.sum("_new").over(own))
+    if nth:
+        place = F.row_number().over(Window.partitionBy(*keys, "_chunk", "_run").orderBy(order))
+        numbered = numbered.withColumn("_early", F.when(place <= nth, F.struct(order, "sec")))
+    else:
+        numbered = numbered.withColumn("_early", F.lit(None).cast("int"))
+    sums = [F.min("sec"), F.max("sec"), F.count(F.lit(1)), F.min(order), F.collect_list("_early")]
+    names = ["_s", "_e", "_n", "_o", "_early"]
+    pieces = numbered.groupBy(*keys, "_chunk", "_run", state).agg(*[x.alias(n) for x, n in zip(sums, names)])
     chunk_all = Window.partitionBy(*keys, "_chunk")
     pieces = pieces.withColumn("_last_run", F.max("_run").over(chunk_all))
     inner = pieces.filter((F.col("_run") > 1) & (F.col("_run") < F.col("_last_run")))
     outer = pieces.filter((F.col("_run") == 1) | (F.col("_run") == F.col("_last_run")))
-    order = Window.partitionBy(*keys).orderBy("_chunk", "_run")
-    joins_previous = F.col(state).eqNullSafe(F.lag(state).over(order)) & (
-        F.col("_chunk") != F.lag("_chunk").over(order)
+    by_piece = Window.partitionBy(*keys).orderBy("_chunk", "_run")
+    joins_previous = F.col(state).eqNullSafe(F.lag(state).over(by_piece)) & (
+        F.col("_chunk") != F.lag("_chunk").over(by_piece)
     )
+    ends = [F.min("_s"), F.max("_e"), F.sum("_n"), F.min("_o"), F.flatten(F.collect_list("_early"))]
     merged = (
         outer.withColumn("_brk", (~F.coalesce(joins_previous, F.lit(False))).cast("int"))
-        .withColumn("_grp", F.sum("_brk").over(order))
+        .withColumn("_grp", F.sum("_brk").over(by_piece))
         .groupBy(*keys, "_grp", state)
-        .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"))
+        .agg(*[x.alias(n) for x, n in zip(ends, names)])
     )
-    columns = [*keys, state, "_s", "_e", "_n"]
+    columns = [*keys, state, *names]
+    extra = [] if order == "sec" else [F.col("_o").alias(order)]
+    if nth:
+        extra.append(F.timestamp_seconds(F.get(F.sort_array("_early"), nth - 1)["sec"]).alias("nth_at"))
     return (
         merged.select(*columns)
         .unionByName(inner.select(*columns))
@@ -103,14 +129,11 @@ def state_runs(df: DataFrame, keys: list[str], state: str, chunk_s: int = DAY) -
             F.timestamp_seconds("_s").alias("run_start"),
             F.timestamp_seconds("_e").alias("run_end"),
             F.col("_n").alias("polls"),
+            *extra,
         )
     )
 
 
-def _chunk_order(keys: list[str]) -> Window:
-    return Window.partitionBy(*keys, "_chunk").orderBy("sec")
-
-
 def sums_within(
     points: DataFrame,
     facts: DataFrame,

@@ -103,7 +103,7 @@ def credential_drift(polls: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Runs of bad polls; fires when the run reaches the configured length."""
     bad = polls.withColumn("bad", F.col("status").isin("Unknown", "Error"))
     runs = W.consecutive_bad(bad, ["datasource_id"], "collected_at", ["record_id"], "bad", cfg.bad_polls)
-    return _alerts(runs, "credential-drift", "datasource_id", F.col("run_start"), F.lit("warning"), F.col("polls"))
+    return _alerts(runs, "credential-drift", "datasource_id", F.col("fired_at"), F.lit("warning"), F.col("polls"))
 
 
 def error_rate_spike(health_5min: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

@@ -1,11 +1,13 @@
 """Alert state kept per entity across micro-batches.
 
-Rows are folded to one per (entity, second) before they reach the state code, so
-what one entity sends into one call is bounded by the seconds of the batch.
+Rows reach the state code as one row per (entity, second), once the watermark has
+closed the second: a count of fires, or the polls of the second in their order.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -37,14 +39,15 @@ class ConsecutiveBad(StatefulProcessor):
         known = self.state.get()
         last, run, start = known if known is not None else (-1, 0, -1)
         fired = []
-        for sec, bad in _ordered(rows, ["sec", "bad"]).itertuples(index=False):
+        for sec, polls in _ordered(rows, ["sec", "bad"]).itertuples(index=False):
             if sec <= last:
-                continue  # behind the poll already judged
-            start = start if bad and run > 0 else sec
-            run = run + 1 if bad else 0
+                continue  # behind the second already judged
+            for bad in polls:
+                start = start if bad and run > 0 else sec
+                run = run + 1 if bad else 0
+                if run == self.limit:
+                    fired.append((key[0], int(start), int(sec), run))
             last = sec
-            if run == self.limit:
-                fired.append((key[0], int(start), int(sec), run))
         self.state.update((int(last), int(run), int(start)))
         yield pd.DataFrame(fired, columns=["datasource_id", "run_start_s", "fired_at_s", "polls"])
 
@@ -62,13 +65,15 @@ class CircuitBreaker(StatefulProcessor):
         self.recent = handle.getListState("recent", "sec bigint, n bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        recent = [(int(s), int(n)) for s, n in self.recent.get()]
-        out = []
+        recent = deque((int(s), int(n)) for s, n in self.recent.get())
+        total, out = sum(n for _, n in recent), []
         for sec, n in _ordered(rows, ["sec", "n"]).itertuples(index=False):
-            recent = [(s, c) for s, c in recent if s >= sec - self.window_s] + [(int(sec), int(n))]
-            total = sum(c for s, c in recent if s <= sec)
+            while recent and recent[0][0] < sec - self.window_s:
+                total -= recent.popleft()[1]
+            recent.append((int(sec), int(n)))
+            total += int(n)
             out.append((key[0], int(sec), int(n), total, total > self.limit))
-        self.recent.put(recent)
+        self.recent.put(list(recent))
         yield pd.DataFrame(out, columns=["host_id", "sec", "fires", "fires_in_window", "suppressed"])
 
     def close(self) -> None:
@@ -86,11 +91,10 @@ def per_second_stream(df: DataFrame, key: str, time: str, delay: str, **aggs) ->
 
 
 def consecutive_bad(polls: DataFrame, limit: int = 3, delay: str = "10 minutes") -> DataFrame:
-    """``polls``: datasource_id, collected_at, record_id, bad. The newest poll of a second counts."""
+    """``polls``: datasource_id, collected_at, record_id, bad. Every poll counts, in the order of time and id."""
     use_rocksdb(polls.sparkSession)
-    seconds = per_second_stream(
-        polls, "datasource_id", "collected_at", delay, bad=F.max_by("bad", F.struct("collected_at", "record_id"))
-    )
+    in_order = F.sort_array(F.collect_list(F.struct("collected_at", "record_id", F.coalesce("bad", F.lit(False)).alias("bad"))))
+    seconds = per_second_stream(polls, "datasource_id", "collected_at", delay, bad=in_order["bad"])
     return seconds.groupBy("datasource_id").transformWithStateInPandas(
         ConsecutiveBad(limit),
         "datasource_id bigint, run_start_s bigint, fired_at_s bigint, polls int",

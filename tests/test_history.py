@@ -98,3 +98,12 @@ def test_render_and_patterns(spark):
     # s and t move together, so only one-column patterns remain
     assert {r.pattern for r in top} == {"s=x", "t=p", "s=y", "t=q"} and top[0].difference_pct in (70.0, -70.0)
     assert D.auto_cluster(rows, ["s", "t"]).first().pattern == "s=y & t=q"
+
+
+def test_versions_within_one_second(spark):
+    rows = [(1, 10.1, 1, "a"), (1, 10.2, 2, "b"), (1, 10.9, 3, "a"), (1, 700.0, 4, "a"), (1, 900.0, 5, "c")]
+    df = spark.createDataFrame(rows, "k int, t double, tie int, v string").withColumn("t", F.col("t").cast("timestamp"))
+    got = H.scd2_history(df, "k", "t", ["tie"], ["v"]).select(
+        "v", F.unix_timestamp("valid_from").alias("a"), F.unix_timestamp("valid_to").alias("b"), "is_current").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("a", 10, 10, False), ("b", 10, 10, False), ("a", 10, 900, False), ("c", 900, None, True)], key=str)

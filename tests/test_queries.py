@@ -2,13 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from catalog import QUERIES, checks
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-CHECKS = entry.oracle_sql()
-# every third query here; tests/oracle.py runs all of them at any size
-NAMES = sorted(CHECKS)[::3]
+CHECKS = checks()
+# tests/oracle.py runs them at any size
+NAMES = sorted(CHECKS)
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +18,10 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, con, name):
-    _, _, ok, note = compare(spark, con, entry.queries()[name], CHECKS[name], SF)
+    _, _, ok, note = compare(spark, con, QUERIES[name], CHECKS[name], SF)
     assert ok, note
 
 
 def test_every_check_has_a_query():
-    assert set(CHECKS) <= set(entry.queries())
-    assert entry.queries().keys() - CHECKS.keys() == {"stream_late_data_report"}
+    assert set(CHECKS) <= set(QUERIES)
+    assert QUERIES.keys() - CHECKS.keys() == {"stream_late_data_report"}

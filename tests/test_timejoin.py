@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.quantiles import exact_quantile
-from pulsegrid.operators.stability import gaps, rolling_stats
+from pulsegrid.operators.stability import consecutive_bad, gaps, rolling_stats, state_transitions
 from pulsegrid.operators.timejoin import nearest_match, window_match_counts
 from pulsegrid.operators.timeline import per_second, state_runs, with_previous
 
@@ -108,3 +108,29 @@ def test_exact_quantile_in_small_and_large_groups(spark, n):
     for q in (0.0, 0.5, 0.95, 1.0):
         got = exact_quantile(df, ["k"], "v", q).collect()
         assert len(got) == 1 and got[0].quantile == pytest.approx(pd.Series(values).quantile(q))
+
+
+def test_polls_of_one_second_all_count(spark):
+    data = [(1, 10.0 + i / 10, i, b) for i, b in enumerate([True, True, True, True, False, True])]
+    polls = spark.createDataFrame(data, "k int, t double, tie int, bad boolean").withColumn("t", F.col("t").cast("timestamp"))
+    runs = consecutive_bad(polls, ["k"], "t", ["tie"], "bad", 3).collect()
+    assert [r.polls for r in runs] == [4] and runs[0].run_start == runs[0].fired_at
+    assert state_transitions(polls, ["k"], "t", ["tie"], "bad").count() == 2
+
+
+def test_nth_poll_of_a_run_over_chunks(spark):
+    df = spark.createDataFrame([(1, 10 * i, i, i != 5) for i in range(40)], "k int, sec bigint, ord int, bad boolean")
+    for chunk in (15, 60, 86400):
+        got = state_runs(df, ["k"], "bad", chunk, "ord", 7).filter("bad").orderBy("run_start").select(
+            F.unix_timestamp("nth_at").alias("n"), "polls", "ord").collect()
+        assert [tuple(r) for r in got] == [(None, 5, 0), (120, 34, 6)]
+
+
+def test_rolling_deviation_of_large_values(spark):
+    data = [(1, BASE + i * 60, 1e9 + i % 2) for i in range(40)] + [(2, BASE + i * 60, 5.0) for i in range(3)]
+    df = spark.createDataFrame(data, "k int, s bigint, v double").withColumn("t", F.timestamp_seconds("s"))
+    for r in rolling_stats(df, "k", "t", "v", 900).collect():
+        window = pd.Series([v for k, x, v in data if k == r.k and r.at.timestamp() - 900 <= x <= r.at.timestamp()])
+        if len(window) > 1:
+            assert r.deviation == pytest.approx(window.std(), abs=1e-3)
+        assert r["mean"] == pytest.approx(window.mean(), abs=1e-3)
