@@ -33,21 +33,28 @@ def upsert_table(
 ) -> None:
     """Upsert into a partitioned table, rewriting only the partitions that change.
 
-    The merged rows go to a staging folder first, because a plan must not
+    The merged rows go to a staging folder of this run first, because a plan must not
     overwrite what it reads; a failed job can be run again at either step. The
-    list of touched partitions is the only thing the driver sees.
+    list of touched partitions is the only thing the driver sees. The partition has
+    to follow from the key: a key that is stored in another partition is refused,
+    as its old row would stay.
     """
     from pulsegrid.session import materialize
     from pulsegrid.sources.storage import read_table, write_partitions
 
-    changes = materialize(changes, "upsert-changes", name=path)
+    changes = materialize(changes, "upsert-changes")
     touched = [r[0] for r in changes.select(partition).distinct().collect()]
     current = read_table(spark, path)
     if current is None:
         write_partitions(latest_wins(changes, keys, order), path, [partition])
         return
+    if partition not in keys:
+        moved = changes.select(*keys, partition).distinct().groupBy(*keys).count().filter("count > 1")
+        stored = current.filter(~F.col(partition).isin(touched)).join(changes.select(*keys).distinct(), keys, "left_semi")
+        if not moved.isEmpty() or not stored.isEmpty():
+            raise ValueError(f"{partition} does not follow from {keys}: a key is in several partitions")
     merged = upsert_by_key(current.filter(F.col(partition).isin(touched)), changes, keys, order)
-    staged = materialize(merged, "upsert-merged", [partition], name=path)
+    staged = materialize(merged, "upsert-merged", [partition])
     write_partitions(staged, path, [partition])
 
 
@@ -122,6 +129,15 @@ def current_dimension(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def dimension_history(snapshots: DataFrame) -> DataFrame:
+    """All versions of each node, in the columns of ``current_dimension``."""
+    attributes = ["cluster_id", "cluster_name", "node_name", "version", "status", "datasource_count"]
+    versions = scd2_history(snapshots, "node_id", "collected_at", ["record_id"], attributes)
+    return versions.withColumnRenamed("status", "status_current").withColumn(
+        "partition_date", F.to_date("valid_from")
+    )
+
+
 def retained(df: DataFrame, layer: str, as_of: Column, cfg: Settings = DEFAULTS, partition: str = "partition_date") -> DataFrame:
     """Rows young enough for their layer; the filter is on the partition column."""
     days = {
@@ -140,10 +156,10 @@ def pseudonymize(df: DataFrame, columns: list[str], salt: str) -> DataFrame:
 
 def row_scope(df: DataFrame, entitlements: DataFrame, viewer: str, key: str) -> DataFrame:
     """Rows whose ``key`` the viewer may see."""
-    allowed = entitlements.filter(F.col("viewer") == viewer).select(key)
+    allowed = entitlements.filter(F.col("viewer") == viewer).select(key).distinct()
     return df.join(allowed, key, "left_semi")
 
 
 def purge_subject(df: DataFrame, subjects: DataFrame, column: str) -> DataFrame:
     """Rows without those of the given subjects."""
-    return df.join(subjects.select(column), column, "left_anti")
+    return df.join(subjects.select(column).distinct(), column, "left_anti")

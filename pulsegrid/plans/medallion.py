@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsegrid.config import DEFAULTS, Settings
@@ -11,6 +12,7 @@ from pulsegrid.contracts import conform, contract_check, empty, schema_of
 from pulsegrid.operators import history, rollups as R
 from pulsegrid.operators.quality import FanoutGuard
 from pulsegrid.plans import correlate as C
+from pulsegrid.session import prepare
 from pulsegrid.sources import landing as L, tenant as T
 from pulsegrid.sources.storage import in_partitions, read_table, write_bronze, write_partitions
 
@@ -23,6 +25,9 @@ class Lake:
     root: str
     fmt: str = "parquet"
 
+    def __post_init__(self) -> None:
+        prepare(self.spark)  # times and days are UTC from the first parse on
+
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
@@ -39,6 +44,12 @@ class Lake:
     def replace(self, df: DataFrame, table: str) -> None:
         write_partitions(df, self.path(table), ["partition_date"], self.fmt)
 
+    def replace_whole(self, df: DataFrame, table: str) -> None:
+        """For tables of the present state: no row of an earlier run survives."""
+        df.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "partition_date"
+        ).save(self.path(table))
+
 
 #: Landing file pattern, scan and flattener of each bronze table.
 WRAPPED = {
@@ -56,14 +67,32 @@ LOGS = {
 }
 
 
-def ingest(lake: Lake, landing: str) -> None:
-    """One batch of landed files; for repeated runs use the streaming form."""
-    for table, (pattern, log_type) in LOGS.items():
-        lake.append(L.ingest_log(lake.spark, f"{landing}/{pattern}", log_type), table)
+def ingest(lake: Lake, landing: str) -> dict[str, str]:
+    """One batch of landed files; for repeated runs use the streaming form.
+
+    A table whose files are absent is skipped and the others go on; returned are
+    the skipped tables and why. Any other error stops the run.
+    """
+    sources = {
+        table: lambda pattern=pattern, log_type=log_type: L.ingest_log(lake.spark, f"{landing}/{pattern}", log_type)
+        for table, (pattern, log_type) in LOGS.items()
+    }
     for table, (pattern, schema, flatten) in WRAPPED.items():
-        rows = flatten(L.scan_wrapper_json(lake.spark, f"{landing}/{pattern}", schema))
-        lake.append(conform(rows, table), table)
-    lake.append(L.scan_ndjson_processes(lake.spark, f"{landing}/MashupProcesses_*.json"), "bronze_processes")
+        sources[table] = lambda table=table, pattern=pattern, schema=schema, flatten=flatten: conform(
+            flatten(L.scan_wrapper_json(lake.spark, f"{landing}/{pattern}", schema)), table
+        )
+    sources["bronze_processes"] = lambda: L.scan_ndjson_processes(lake.spark, f"{landing}/MashupProcesses_*.json")
+    skipped = {}
+    for table, scan in sources.items():
+        try:
+            rows = scan()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            skipped[table] = error.getCondition()
+            continue
+        lake.append(rows, table)
+    return skipped
 
 
 def host_of_node(inventory: DataFrame) -> DataFrame:
@@ -74,10 +103,17 @@ def host_of_node(inventory: DataFrame) -> DataFrame:
 def build_silver(
     lake: Lake, start: Column | None = None, end: Column | None = None, cfg: Settings = DEFAULTS
 ) -> dict[str, tuple[int, int]]:
-    """Silver tables of a date range (default: all). Returns rows in and out per table."""
+    """Silver tables of a date range (default: all). Returns rows in and out per table.
+
+    Replays and matches reach over midnight, so one day more is read on either side
+    and only the wanted days are written.
+    """
 
     def bronze(table: str) -> DataFrame:
         df = lake.read_or_empty(table)
+        return df if start is None else in_partitions(df, F.date_sub(F.to_date(start), 1), F.date_add(F.to_date(end), 1))
+
+    def wanted_days(df: DataFrame) -> DataFrame:
         return df if start is None else in_partitions(df, start, end)
 
     hosts = host_of_node(lake.read_or_empty("bronze_inventory"))
@@ -94,11 +130,9 @@ def build_silver(
         "processing_ms", "disk_read_bps", "disk_write_bps",
     ).drop("partition_date").join(hosts, "node_id", "left").withColumn("artifact_hint", F.col("data_source"))
     lake.replace(
-        C.silver_query_execution(executions, lake.read("bronze_query_start")), "silver_query_execution"
+        wanted_days(C.silver_query_execution(executions, lake.read("bronze_query_start"))), "silver_query_execution"
     )
-    silver = lake.read("silver_query_execution")
-    if start is not None:
-        silver = in_partitions(silver, start, end)
+    silver = wanted_days(lake.read("silver_query_execution"))
 
     counts = {}
 
@@ -120,8 +154,14 @@ def build_silver(
     return counts
 
 
-def build_gold(lake: Lake, as_of: Column, cfg: Settings = DEFAULTS) -> None:
-    """Gold tables from silver and bronze."""
+#: Gold tables of facts; the others describe the present state and are replaced whole.
+FACTS = ("gold_query_performance",)
+
+
+def build_gold(
+    lake: Lake, as_of: Column, cfg: Settings = DEFAULTS, start: Column | None = None, end: Column | None = None
+) -> None:
+    """Gold tables from silver and bronze; a date range bounds what is computed anew of the fact tables."""
     silver = lake.read("silver_query_execution")
     inventory = lake.read_or_empty("bronze_inventory").withColumn(
         "record_id", F.xxhash64("node_id", "collected_at", "status", "version")
@@ -135,9 +175,9 @@ def build_gold(lake: Lake, as_of: Column, cfg: Settings = DEFAULTS) -> None:
     )
     tables = {
         "gold_gateway_health": health,
-        "gold_query_performance": R.query_performance(silver),
+        "gold_query_performance": R.query_performance(silver if start is None else in_partitions(silver, start, end)),
         "gold_cluster_load": R.cluster_load(silver, R.cluster_map(inventory), cfg),
-        "gold_dim_gateway": history.current_dimension(inventory),
+        "gold_dim_gateway": history.dimension_history(inventory),
         "gold_process_health": R.process_health(lake.read_or_empty("bronze_processes"), cfg).withColumn(
             "partition_date", F.to_date(as_of)
         ),
@@ -146,7 +186,8 @@ def build_gold(lake: Lake, as_of: Column, cfg: Settings = DEFAULTS) -> None:
         ).withColumn("partition_date", F.to_date("collected_at")),
     }
     for name, df in tables.items():
-        lake.replace(contract_check(df, name), name)
+        write = lake.replace if name in FACTS else lake.replace_whole
+        write(contract_check(df, name), name)
 
 
 def build_tenant(lake: Lake, landing: str) -> None:

@@ -56,7 +56,8 @@ def test_gold_tables(lake):
     load = lake[0].read("gold_cluster_load")
     assert load.filter("queries_per_node_cv IS NOT NULL").count() > 0
     dimension = lake[0].read("gold_dim_gateway")
-    assert dimension.count() == 3 and dimension.filter("is_current").count() == 3
+    assert dimension.filter("is_current").count() == 3
+    assert dimension.filter("NOT is_current").filter("valid_to IS NULL OR valid_to < valid_from").count() == 0
     process = {r.node_id: r for r in lake[0].read("gold_process_health").collect()}
     assert [n for n, r in process.items() if r.runaway_container] == ["n1"]
     assert process["n2"].distinct_processes == 3 and process["n2"].container_samples == 4
@@ -97,3 +98,41 @@ def test_provenance_and_formats(spark, tmp_path):
     assert df.source_file.endswith(".orc") and (df.collector, df.collector_version) == ("agent", "1.2") and df.ingested_at
     with pytest.raises(ValueError):
         read_table(spark, "x", "csv")
+
+
+def test_present_state_keeps_no_row_of_an_earlier_run(spark, tmp_path):
+    write_landing(tmp_path)
+    lake = M.Lake(spark, str(tmp_path / "lake"))
+    assert M.ingest(lake, str(tmp_path)) == {}
+    M.build_silver(lake)
+    M.build_gold(lake, F.lit("2024-03-05 12:30:00").cast("timestamp"))
+    seen = {t: lake.read(t).count() for t in ("gold_gateway_health", "gold_datasources", "gold_process_health")}
+    later = lake.read("bronze_inventory").withColumns({
+        "collected_at": F.col("collected_at") + F.expr("INTERVAL 1 DAY"), "partition_date": F.date_add("partition_date", 1)})
+    lake.append(spark.createDataFrame(later.collect(), later.schema), "bronze_inventory")
+    M.build_gold(lake, F.lit("2024-03-06 12:30:00").cast("timestamp"))
+    assert {t: lake.read(t).count() for t in seen} == seen
+    assert lake.read("gold_dim_gateway").filter("is_current").count() == 3
+
+
+def test_ingest_reports_missing_files_and_goes_on(spark, tmp_path):
+    write_landing(tmp_path)
+    for f in tmp_path.glob("QueryStartReport*"):
+        f.write_text("")
+        f.rename(tmp_path / "other.txt")
+    lake = M.Lake(spark, str(tmp_path / "lake"))
+    assert M.ingest(lake, str(tmp_path)) == {"bronze_query_start": "PATH_NOT_FOUND"}
+    assert lake.read("bronze_processes") is not None
+
+
+def test_silver_of_one_day_sees_the_day_before(spark, tmp_path):
+    lake = M.Lake(spark, str(tmp_path / "lake"))
+    write_landing(tmp_path)
+    M.ingest(lake, str(tmp_path))
+    day = lake.read("bronze_query_execution").selectExpr("max(partition_date) AS d").first().d
+    M.build_silver(lake)
+    whole = {r.request_id: r.network_gap_s for r in lake.read("silver_network_correlated").filter(F.col("partition_date") == F.lit(day)).collect()}
+    one = M.Lake(spark, str(tmp_path / "one"))
+    M.ingest(one, str(tmp_path))
+    M.build_silver(one, F.lit(day), F.lit(day))
+    assert {r.request_id: r.network_gap_s for r in one.read("silver_network_correlated").collect()} == whole
