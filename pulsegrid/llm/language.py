@@ -24,6 +24,7 @@ from pulsegrid.llm.frames import append, fresh, map_arrow, with_schema
 BUCKETS = 1 << 14
 #: Bound of the labelled sample that the weights are learned from, for each language.
 ROWS_PER_CLASS = 500
+SLICES = 32
 UNKNOWN = "und"
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 2e-4, 1e-4, 4
 #: Characters that are hashed at a time.
@@ -140,12 +141,19 @@ def _document_counts(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _sample(train: DataFrame, rows_per_class: int) -> list:
-    """(lang, buckets, counts) of the rows of smallest id hash, the same number at most for each language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        train.select("id", "lang").withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= rows_per_class).select("id").distinct()
-    )
+    """(lang, buckets, counts) of the rows of smallest id hash, the same number at most for each language.
+
+    The chosen ids are broadcast: they are ``rows_per_class`` for each class of the model at most.
+    """
+    best = [F.xxhash64("id"), F.col("id")]
+
+    def first(df: DataFrame, *by) -> DataFrame:
+        ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*best)))
+        return ranked.filter(F.col("rank") <= rows_per_class).drop("rank")
+
+    # slices of a language first, so that what meets in one task does not grow with the input
+    sliced = first(train.select("id", "lang"), "lang", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
+    chosen = first(sliced, "lang").select("id").distinct()
 
     def make():
         def step(batch):
@@ -159,7 +167,7 @@ def _sample(train: DataFrame, rows_per_class: int) -> list:
         return step
 
     rows = map_arrow(
-        train.join(chosen, "id", "left_semi").select("lang", "text", "id"), make,
+        train.join(F.broadcast(chosen), "id", "left_semi").select("lang", "text", "id"), make,
         "lang string, at array<long>, n array<long>, id string",
     ).collect()
     rows = sorted(rows, key=lambda r: (r["id"], r["lang"]))
