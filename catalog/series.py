@@ -151,9 +151,9 @@ add(
     "order_by_score",
     lambda s, d: rounded(T.decompose_anomalies(cpu5_series(s, d), ["node_id"], 288)
                          .filter("flag != 0").select("node_id", "bin", "score"), score=4)
-    .orderBy(F.col("score").desc(), "node_id", "bin").limit(20),
+    .orderBy(F.col("score").desc(), "node_id", "bin"),
     """SELECT node_id, bin, round(score, 4) + 0 AS score FROM cpu5_scored WHERE flag <> 0
-       ORDER BY round(score, 4) DESC, node_id, bin LIMIT 20""",
+       ORDER BY round(score, 4) DESC, node_id, bin""",
 )
 add("series_forecast", lambda s, d: rounded(spool_forecast(s, d), forecast=4),
     "SELECT host_id, idx, bin, round(forecast, 4) + 0 AS forecast FROM spool_forecast")

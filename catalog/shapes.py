@@ -340,14 +340,14 @@ add("failed_with_owner",
     "SELECT end_ts, executing_user, item_name, data_source, error_message FROM identity WHERE NOT success")
 add("top_sources_by_duration",
     lambda s, d: execs(s, d).groupBy("data_source").agg(F.round(F.avg("duration_ms"), 2).alias("duration_avg_ms"))
-    .orderBy(F.col("duration_avg_ms").desc(), "data_source").limit(3),
+    .orderBy(F.col("duration_avg_ms").desc(), "data_source"),
     """SELECT data_source, round(avg(duration_ms), 2) AS duration_avg_ms FROM execs GROUP BY 1
-       ORDER BY duration_avg_ms DESC, data_source LIMIT 3""")
+       ORDER BY duration_avg_ms DESC, data_source""")
 add("failures_by_dataset",
     lambda s, d: B.refreshables(s, d).filter("status = 'Failed'").groupBy("dataset_id").agg(cnt("failures"))
-    .orderBy(F.col("failures").desc(), "dataset_id").limit(20),
+    .orderBy(F.col("failures").desc(), "dataset_id"),
     """SELECT dataset_id, count(*) AS failures FROM refreshables WHERE status = 'Failed' GROUP BY 1
-       ORDER BY failures DESC, dataset_id LIMIT 20""")
+       ORDER BY failures DESC, dataset_id""")
 
 # ---- set operations ---------------------------------------------------------------------------
 add("union_by_name",

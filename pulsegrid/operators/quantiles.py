@@ -4,36 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-#: Accuracy of the bracketing sketch; smaller groups are ranked whole.
+#: Accuracy of the bracketing sketch.
 ACCURACY = 10000
 
 
-def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
+def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, slack: float = 3.0 / ACCURACY) -> DataFrame:
     """Inclusive (interpolated) quantile per key: keys, ``quantile``.
 
-    A sketch brackets the wanted ranks three error bounds wide. Values below the
-    bracket are only counted and values above it dropped, so of a large group
-    about one row in 1500 is ranked. ``keys`` must not be empty.
+    A sketch brackets the wanted ranks ``slack`` wide. How many values lie below and
+    within the bracket is then counted, and a bracket that misses the wanted ranks is
+    replaced by the key's whole range, so the answer never rests on the sketch.
+    Values below the bracket are only counted and values above it dropped, so of a
+    large group about one row in 1500 is ranked. ``keys`` must not be empty.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    slack = 3.0 / ACCURACY
     ends = F.percentile_approx(
         "v", F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack))), F.lit(ACCURACY)
     )
-    small = F.col("n") <= ACCURACY
-    bracket = (
+    guess = (
         rows.groupBy(*keys)
         .agg(ends.alias("e"), F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         .select(
-            *keys,
+            *keys, "low", "high",
             ((F.col("n") - 1) * F.lit(float(q))).alias("rank"),
-            F.when(small, F.col("low")).otherwise(F.col("e")[0]).alias("lo"),
-            F.when(small, F.col("high")).otherwise(F.col("e")[1]).alias("hi"),
+            F.col("e")[0].alias("lo"), F.col("e")[1].alias("hi"),
         )
     )
-    on = F.lit(True)
-    for key in keys:
-        on &= F.col(f"r.{key}").eqNullSafe(F.col(f"b.{key}"))
+
+    def same(a: str, b: str):
+        on = F.lit(True)
+        for key in keys:
+            on &= F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}"))
+        return on
+
+    met = (
+        rows.alias("r").join(guess.alias("g"), same("r", "g"))
+        .groupBy(*[F.col(f"g.{k}").alias(k) for k in keys], "rank", "lo", "hi", "low", "high")
+        .agg(F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(F.col("v") <= F.col("hi")).alias("upto"))
+    )
+    bracket = met.select(
+        *keys, "rank",
+        F.when(F.col("below") <= F.floor("rank"), F.col("lo")).otherwise(F.col("low")).alias("lo"),
+        F.when(F.col("upto") > F.ceil("rank"), F.col("hi")).otherwise(F.col("high")).alias("hi"),
+    )
+    on = same("r", "b")
     counted = (
         rows.alias("r")
         .join(bracket.alias("b"), on)
