@@ -38,6 +38,10 @@ TABLES = {
     "capacities": B.capacities,
     "datasources": datasources,
     "executions": execs,
+    "counters": B.counters,
+    "spool": B.spool,
+    "network": B.network,
+    "processes": B.processes,
 }
 VIEWS["ds_now"] = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY datasource_id
   ORDER BY collected_at DESC, record_id DESC) AS rn FROM datasource_polls) WHERE rn = 1"""
@@ -48,7 +52,8 @@ VIEW_OF = {
     "health": "gold_health", "performance": "gold_perf", "load": "gold_load", "dimension": "dim_gold",
     "attribution": "attribution", "triage": "triage", "process": "gold_process", "items": "items",
     "activities": "activities", "refreshables": "refresh_gold", "capacities": "capacities",
-    "datasources": "ds_now", "executions": "execs",
+    "datasources": "ds_now", "executions": "execs", "counters": "counters", "spool": "spool", "network": "network",
+    "processes": "processes",
 }
 
 
@@ -127,6 +132,11 @@ SQLS = {
     "datasources_in_error": ("cluster_name", counted("status = 'Error'")),
     "datasource_count": ("datasource_type", "count(DISTINCT datasource_id)"),
     "failure_rate_pct": ("data_source", "round(" + share("NOT success") + ", 4)"),
+    "sampled_cpu_pct": ("node_id", "round(avg(gateway_cpu), 4)"),
+    "sampled_spool_free_pct": ("host_id", "min(free_pct)"),
+    "sampled_utilization_pct": ("host_id", "round(avg(utilization_pct), 4)"),
+    "sampled_latency_p95_ms": ("host_id", "round(quantile_cont(latency_ms, 0.95), 4)"),
+    "sampled_working_set_mb": ("node_id", "max(working_set_mb)"),
 }
 SQLS["attribution_evaluation_context_pct"] = (
     "query_type", "round(" + share("attribution_confidence = 'EVALUATION_CONTEXT'") + ", 4)")
@@ -204,12 +214,24 @@ add("capacity_pulse", lambda s, d: M.capacity_pulse(B.capacities(s, d), 200.0),
 def page_sql(page):
     parts = []
     for v in M.PAGES[page]:
-        table = v.table or M.MEASURES[v.measure].table
+        if v.measure in M.RISKS:
+            view, value = "risk_counts", v.measure
+        elif v.measure == "p95_query_duration_ms":
+            view, value = "gold_perf", "round(quantile_cont(duration_p95_ms, 0.95), 4)"
+        else:
+            view = VIEW_OF[v.table or M.MEASURES[v.measure].table]
+            value = "count(*)" if v.measure is None else (
+                counted(f"item_kind = '{KINDS[v.measure]}'") if v.measure in KINDS else SQLS[v.measure][1])
+        if v.change:
+            parts.append(f"""SELECT '{v.title}' AS visual, CAST(month AS VARCHAR) AS label, CAST(change_pct AS DOUBLE) AS value
+              FROM ({change_sql(view, v.day_of, value, "n")})""")
+            continue
         fields = [f"CAST({v.day_of} AS DATE)"] if v.day_of else list(v.by)
         label = " || ' | ' || ".join(f"coalesce(CAST({f} AS VARCHAR), '(blank)')" for f in fields) or "''"
-        value = "count(*)" if v.measure is None else SQLS[v.measure][1]
+        if v.measure in M.TEXTS:
+            label, value = value, "NULL"
         group = f" GROUP BY {', '.join(fields)}" if fields else ""
-        parts.append(f"SELECT '{v.title}' AS visual, {label} AS label, CAST({value} AS DOUBLE) AS value FROM {VIEW_OF[table]}{group}")
+        parts.append(f"SELECT '{v.title}' AS visual, {label} AS label, CAST({value} AS DOUBLE) AS value FROM {view}{group}")
     return "\nUNION ALL ".join(parts)
 
 

@@ -120,6 +120,13 @@ MEASURES: dict[str, Measure] = {
     "cu_consumption": Measure("capacities", lambda c: F.sum("cu_seconds"), 4),
     "datasources_in_error": Measure("datasources", lambda c: F.count_if(F.col("status") == "Error")),
     "datasource_count": Measure("datasources", lambda c: F.count_distinct("datasource_id")),
+    # samples with their time, for lines along the date
+    "sampled_cpu_pct": Measure("counters", lambda c: F.avg("gateway_cpu"), 4),
+    "sampled_spool_free_pct": Measure("spool", lambda c: F.min("free_pct")),
+    "sampled_utilization_pct": Measure("network", lambda c: F.avg("utilization_pct"), 4),
+    "sampled_latency_p95_ms": Measure(
+        "network", lambda c: F.percentile("latency_ms", F.lit(0.95)), 4),
+    "sampled_working_set_mb": Measure("processes", lambda c: F.max("working_set_mb")),
     # raw fact
     "failure_rate_pct": Measure("executions", lambda c: _share(~F.col("success")), 4),
 }
@@ -146,6 +153,8 @@ def evaluate_many(
 def evaluate(tables, name: str, ctx: Context, by: list = (), where: Column | None = None) -> DataFrame:
     if name == "p95_query_duration_ms":
         return p95_query_duration(tables["performance"], list(by), where)
+    if name in RISKS:
+        return risks(tables, ctx).select(name)
     return evaluate_many(tables, [name], ctx, by, where)
 
 
@@ -163,6 +172,9 @@ def month_change(tables: dict[str, DataFrame], name: str, ctx: Context, time: st
     return period_over_period(evaluate(tables, name, ctx, [month]), "month", name)
 
 
+RISKS = ("open_risk_count", "top_risk")
+
+
 def risks(tables: dict[str, DataFrame], ctx: Context) -> DataFrame:
     """The four open-risk counts, their sum and the first one that applies."""
     health = tables["health"].agg(
@@ -214,14 +226,25 @@ def capacity_pulse(capacities: DataFrame, budget: float) -> DataFrame:
 
 @dataclass(frozen=True)
 class Visual:
-    """One visual: a measure along a field, or a count of rows by fields."""
+    """One visual: a measure along fields or the days of a time, or a count of rows by fields.
+
+    With ``change`` it is the measure's change on the month before, by month. A
+    measure that is text is the label of its row.
+    """
 
     title: str
     measure: str | None
     by: tuple[str, ...] = ()
     table: str | None = None
     day_of: str | None = None
+    change: bool = False
+
 
+def _cards(*measures: str) -> tuple[Visual, ...]:
+    return tuple(Visual(m, m) for m in measures)
+
+
+TEXTS = ("gateway_status", "spool_disk_status", "network_status", "top_risk")
 
 PAGES: dict[str, tuple[Visual, ...]] = {
     "executive_cockpit": (
@@ -229,11 +252,18 @@ PAGES: dict[str, tuple[Visual, ...]] = {
         Visual("error_rate", "gateway_error_rate_pct", day_of="hour_utc"),
         Visual("match_rate", "attribution_match_rate_pct"),
         Visual("refresh_success", "refresh_success_pct"),
+        *_cards("gateway_error_rate_pct", "active_items", "nodes_offline", "open_risk_count", "top_risk"),
     ),
     "tenant_overview": (
         Visual("items_by_kind", "active_items", ("item_kind",)),
         Visual("workspaces", "workspace_count"),
         Visual("capacity_items", "active_items", ("capacity_id",)),
+        Visual("capacities_by_sku", None, ("sku",), "capacities"),
+        *_cards("capacity_count", "report_count", "semantic_model_count", "notebook_count", "pipeline_count", "lakehouse_count"),
+        Visual("activities_by_month", "activities", day_of="activity_ts"),
+        Visual("activities_change", "activities", day_of="activity_ts", change=True),
+        Visual("users_by_month", "unique_active_users", day_of="activity_ts"),
+        Visual("users_change", "unique_active_users", day_of="activity_ts", change=True),
     ),
     "timeline": (
         Visual("activities", "activities", day_of="activity_ts"),
@@ -242,44 +272,61 @@ PAGES: dict[str, tuple[Visual, ...]] = {
         Visual("refresh_failures", "refresh_failure_count", day_of="start_ts"),
     ),
     "fleet_overview": (
-        Visual("nodes", "node_count"),
-        Visual("clusters", "cluster_count"),
+        *_cards("node_count", "cluster_count", "avg_gateway_cpu_pct", "cluster_load_skew", "hottest_node_query_pct"),
         Visual("load_skew", "cluster_load_skew", ("cluster_name",)),
         Visual("hottest_node", "hottest_node_query_pct", ("cluster_name",)),
         Visual("fleet_matrix", None, ("node_id", "cluster_name", "version", "status_current"), "dimension"),
+        Visual("latency_by_day", "sampled_latency_p95_ms", day_of="collected_at"),
     ),
     "query_identity": (
-        Visual("total_queries", "total_queries", ("data_source", "query_type")),
+        *_cards("total_queries", "attribution_match_rate_pct", "avg_query_duration_ms", "p95_query_duration_ms",
+                "gateway_error_rate_pct", "attribution_evaluation_context_pct", "attribution_fuzzy_time_window_pct",
+                "attribution_unattributed_pct"),
+        Visual("queries_by_source", "total_queries", ("data_source", "query_type")),
         Visual("attribution", None, ("attribution_confidence",), "attribution"),
         Visual("top_users", None, ("executing_user",), "attribution"),
         Visual("top_items", None, ("item_name",), "attribution"),
+        Visual("query_detail", None, ("data_source", "query_type", "artifact_id"), "attribution"),
     ),
     "failures_triage": (
-        Visual("failure_layer", None, ("failure_layer",), "triage"),
+        *_cards("total_errors", "gateway_error_rate_pct", "triage_coverage_pct", "failures_with_os_event"),
+        Visual("failure_layers", None, ("failure_layer",), "triage"),
         Visual("triage_detail", None, ("data_source", "error_message", "failure_layer", "triage_confidence"), "triage"),
         Visual("error_rate", "gateway_error_rate_pct", day_of="hour_utc"),
     ),
     "capacity_spool": (
+        *_cards("avg_gateway_cpu_pct", "avg_gateway_mem_mb", "system_gateway_cpu_gap_pct", "spool_free_space_pct",
+                "spool_disk_status", "total_data_spooled_gb"),
         Visual("cpu", "avg_gateway_cpu_pct", ("node_id",)),
+        Visual("cpu_by_day", "sampled_cpu_pct", day_of="counter_ts"),
         Visual("spool_free", "spool_free_space_pct", ("node_id",)),
+        Visual("spool_free_by_day", "sampled_spool_free_pct", day_of="collected_at"),
         Visual("spooled_gb", "total_data_spooled_gb", ("node_id",)),
         Visual("spool_throughput", "spool_throughput_mb_s", ("node_id",)),
+        Visual("duration", "avg_query_duration_ms", ("node_id",)),
     ),
     "process_health": (
+        *_cards("peak_process_working_set_mb", "runaway_processes", "avg_process_working_set_mb"),
         Visual("peak_working_set", "peak_process_working_set_mb", ("node_id",)),
         Visual("runaway", "runaway_processes", ("node_id",)),
+        Visual("working_set_by_day", "sampled_working_set_mb", day_of="collected_at"),
     ),
     "network_bandwidth": (
+        *_cards("network_utilization_pct", "network_status", "network_latency_p95_ms"),
         Visual("utilization", "network_utilization_pct", ("node_id",)),
         Visual("latency_p95", "network_latency_p95_ms", ("node_id",)),
+        Visual("utilization_by_day", "sampled_utilization_pct", day_of="collected_at"),
+        Visual("latency_by_day", "sampled_latency_p95_ms", day_of="collected_at"),
         Visual("spooled_gb", "total_data_spooled_gb", ("node_id",)),
     ),
     "datasource_health": (
         Visual("count", "datasource_count"),
         Visual("in_error", "datasources_in_error"),
+        Visual("status_detail", None, ("datasource_name", "datasource_type", "status", "collected_at"), "datasources"),
         Visual("status_by_cluster", None, ("cluster_name", "status"), "datasources"),
     ),
     "refresh_analytics": (
+        *_cards("refresh_success_pct", "refresh_failure_count", "avg_refresh_duration_min"),
         Visual("failures_by_dataset", "refresh_failure_count", ("dataset_id",)),
         Visual("minutes_by_dataset", "avg_refresh_duration_min", ("dataset_id",)),
         Visual("refresh_detail", None, ("workspace_id", "dataset_id", "status"), "refreshables"),
@@ -287,19 +334,51 @@ PAGES: dict[str, tuple[Visual, ...]] = {
 }
 
 
-def page_feed(tables: dict[str, DataFrame], page: str, ctx: Context) -> DataFrame:
-    """All visuals of a page as rows (visual, label, value)."""
-    feed = None
-    for v in PAGES[page]:
+def _rows(tables: dict[str, DataFrame], v: Visual, ctx: Context) -> DataFrame:
+    """(visual, label, value) of one visual."""
+    names = ["month"] if v.change else ["day"] if v.day_of else list(v.by)
+    if v.change:
+        rows = month_change(tables, v.measure, ctx, v.day_of).select("month", F.col("change_pct").alias("value"))
+    else:
         fields = [F.to_date(v.day_of).alias("day")] if v.day_of else [F.col(c) for c in v.by]
-        names = ["day"] if v.day_of else list(v.by)
         if v.measure is None:
             rows = tables[v.table].groupBy(*fields).agg(F.count(F.lit(1)).alias("value"))
         else:
             rows = evaluate(tables, v.measure, ctx, fields).withColumnRenamed(v.measure, "value")
-        label = F.concat_ws(" | ", *[F.coalesce(F.col(n).cast("string"), F.lit("(blank)")) for n in names])
-        part = rows.select(
-            F.lit(v.title).alias("visual"), label.alias("label"), F.col("value").cast("double").alias("value")
+    label = F.concat_ws(" | ", *[F.coalesce(F.col(n).cast("string"), F.lit("(blank)")) for n in names])
+    text = v.measure in TEXTS
+    return rows.select(
+        F.lit(v.title).alias("visual"),
+        (F.col("value") if text else label).alias("label"),
+        (F.lit(None) if text else F.col("value")).cast("double").alias("value"),
+    )
+
+
+def _cards_of(tables: dict[str, DataFrame], table: str, cards: list[Visual], ctx: Context) -> DataFrame:
+    """All single values of one table from one aggregate."""
+    row = evaluate_many(tables, list(dict.fromkeys(v.measure for v in cards)), ctx)
+    parts = [
+        F.struct(
+            F.lit(v.title).alias("visual"),
+            (F.col(v.measure) if v.measure in TEXTS else F.lit("")).alias("label"),
+            (F.lit(None) if v.measure in TEXTS else F.col(v.measure)).cast("double").alias("value"),
         )
-        feed = part if feed is None else feed.unionByName(part)
+        for v in cards
+    ]
+    return row.select(F.explode(F.array(*parts)).alias("v")).select("v.*")
+
+
+def page_feed(tables: dict[str, DataFrame], page: str, ctx: Context) -> DataFrame:
+    """All visuals of a page as rows (visual, label, value); the cards of one table share its scan."""
+    cards: dict[str, list[Visual]] = {}
+    parts = []
+    for v in PAGES[page]:
+        if v.measure in MEASURES and not v.by and not v.day_of:
+            cards.setdefault(MEASURES[v.measure].table, []).append(v)
+        else:
+            parts.append(_rows(tables, v, ctx))
+    parts += [_cards_of(tables, table, own, ctx) for table, own in cards.items()]
+    feed = parts[0]
+    for part in parts[1:]:
+        feed = feed.unionByName(part)
     return feed
