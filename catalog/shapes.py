@@ -470,8 +470,12 @@ add("purge_subject",
     lambda s, d: K.purge_subject(B.activities(s, d), B.read(s, d, "customer").filter("c_acctbal < 0")
                                  .select(F.col("c_custkey").alias("user_id")), "user_id"),
     "SELECT * FROM activities WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+# the state at a moment when some nodes were down
+VIEWS["down_then"] = """SELECT node_id FROM (SELECT *, row_number() OVER (PARTITION BY node_id
+  ORDER BY collected_at DESC, record_id DESC) AS rn FROM inventory WHERE collected_at < '2024-01-25') WHERE rn = 1 AND status <> 'Live'"""
 add("blast_radius",
     lambda s, d: C.blast_radius(
-        R.newest_of(B.inventory(s, d), ["node_id"], "collected_at", ["record_id"]).filter("status <> 'Live'"), execs(s, d)),
+        R.newest_of(B.inventory(s, d).filter(F.col("collected_at") < F.lit("2024-01-25").cast("timestamp")), ["node_id"],
+                    "collected_at", ["record_id"]).filter("status <> 'Live'"), execs(s, d)),
     """SELECT node_id, artifact_id, count(*) AS queries, max(end_ts) AS last_used FROM execs
-       WHERE artifact_id IS NOT NULL AND node_id IN (SELECT node_id FROM dim_now WHERE status <> 'Live') GROUP BY 1, 2""")
+       WHERE artifact_id IS NOT NULL AND node_id IN (SELECT node_id FROM down_then) GROUP BY 1, 2""")

@@ -32,17 +32,23 @@ def make_series(
     inside = df.filter((F.col(time) >= start) & (F.col(time) < stop))
     binned = inside.groupBy(*keys, idx.alias("idx")).agg(value.cast("double").alias("value"))
     steps = F.ceil((last - first) / F.lit(step_s)).cast("int")
-    grid = (
-        inside.select(*keys)
-        .distinct()
-        .select(*keys, F.explode(F.sequence(F.lit(0), steps - 1)).alias("idx"))
+    # each filled step also brings the empty ones up to the next, so the rows are read once
+    order = Window.partitionBy(*keys).orderBy("idx")
+    covers = F.sequence(
+        F.when(F.lag("idx").over(order).isNull(), F.lit(0)).otherwise(F.col("idx")),
+        F.coalesce(F.lead("idx").over(order), steps) - 1,
     )
-    filled = F.col("value") if default is None else F.coalesce("value", F.lit(default))
-    return grid.join(binned, [*keys, "idx"], "left").select(
-        *keys,
-        "idx",
-        F.timestamp_seconds(first + F.col("idx").cast("long") * step_s).alias("bin"),
-        filled.alias("value"),
+    empty_value = F.lit(default).cast("double")
+    filled = F.when(F.col("step") == F.col("idx"), F.coalesce("value", empty_value)).otherwise(empty_value)
+    return (
+        binned.withColumn("covers", covers)
+        .select(*keys, "idx", "value", F.explode("covers").alias("step"))
+        .select(
+            *keys,
+            F.col("step").alias("idx"),
+            F.timestamp_seconds(first + F.col("step").cast("long") * step_s).alias("bin"),
+            filled.alias("value"),
+        )
     )
 
 
