@@ -93,7 +93,7 @@ add("stream_offline_detector",
          OVER (PARTITION BY node_id ORDER BY collected_at) AS run FROM b),
        r AS (SELECT node_id, min(collected_at) AS a, max(collected_at) AS z, count(*) AS heartbeats FROM s GROUP BY node_id, run),
        wm AS (SELECT max(collected_at) - INTERVAL 10 MINUTE AS t FROM inventory WHERE status = 'Live')
-       SELECT node_id, 'LIVE' AS state, a AS at, heartbeats, z AS last_seen FROM r WHERE z + INTERVAL 3 HOUR <= (SELECT t FROM wm)
+       SELECT node_id, 'LIVE' AS state, a AS at, NULL AS heartbeats, NULL AS last_seen FROM r WHERE a <= (SELECT t FROM wm)
        UNION ALL SELECT node_id, 'OFFLINE', z + INTERVAL 3 HOUR, heartbeats, z FROM r WHERE z + INTERVAL 3 HOUR <= (SELECT t FROM wm)""")
 
 

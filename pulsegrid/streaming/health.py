@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsegrid.functions import scalars as S
 from pulsegrid.operators.rollups import n_rows, p95
+from pulsegrid.streaming.stateful import Outages, use_rocksdb
 
 
 def dedup(executions: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -59,19 +60,25 @@ def identity_join(
 def offline_events(heartbeats: DataFrame, threshold: str = "10 minutes", delay: str = "10 minutes") -> DataFrame:
     """LIVE at the first heartbeat after a silence, OFFLINE when ``threshold`` passes without one.
 
-    A run of heartbeats is a session; its end is the last heartbeat plus the
-    threshold. Sessions merge whatever the arrival order, each node changes state
-    once per outage, and both events come out when the watermark closes the run.
+    LIVE comes out when the watermark passes that heartbeat, so no earlier one can
+    still arrive and the signal is ``delay`` late at most; OFFLINE when it passes the
+    last heartbeat plus the threshold, with the number of heartbeats in between.
+    Each node changes state once per outage, whatever the arrival order.
     """
-    runs = (
-        heartbeats.withWatermark("collected_at", delay)
-        .groupBy("node_id", F.session_window("collected_at", threshold).alias("w"))
-        .agg(n_rows().alias("heartbeats"), F.max("collected_at").alias("last_seen"))
+    use_rocksdb(heartbeats.sparkSession)
+    gap_us = heartbeats.sparkSession.sql(f"SELECT unix_micros(timestamp_seconds(0) + INTERVAL {threshold})").first()[0]
+    beats = heartbeats.withWatermark("collected_at", delay).select(
+        "node_id", "collected_at", F.unix_micros("collected_at").alias("us")
     )
-    events = F.array(
-        F.struct(F.lit("LIVE").alias("state"), F.col("w.start").alias("at")),
-        F.struct(F.lit("OFFLINE").alias("state"), F.col("w.end").alias("at")),
+    kind = heartbeats.schema["node_id"].dataType.simpleString()
+    events = beats.groupBy("node_id").transformWithStateInPandas(
+        Outages(int(gap_us)),
+        f"node_id {kind}, state string, at_us bigint, heartbeats bigint, last_us bigint",
+        "Append",
+        "EventTime",
     )
-    return runs.select("node_id", F.explode(events).alias("e"), "heartbeats", "last_seen").select(
-        "node_id", "e.state", "e.at", "heartbeats", "last_seen"
+    return events.select(
+        "node_id", "state", F.timestamp_micros("at_us").alias("at"), "heartbeats",
+        F.timestamp_micros("last_us").alias("last_seen"),
     )
+

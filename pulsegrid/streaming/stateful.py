@@ -80,6 +80,53 @@ class CircuitBreaker(StatefulProcessor):
         pass
 
 
+class Outages(StatefulProcessor):
+    """Runs of heartbeats that the watermark has not closed, with timers at their begin and end."""
+
+    COLUMNS = ["node_id", "state", "at_us", "heartbeats", "last_us"]
+
+    def __init__(self, gap_us: int):
+        self.gap_us = gap_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.runs = handle.getListState("runs", "first bigint, last bigint, n bigint, announced boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        runs = [[int(a), int(b), int(n), bool(x)] for a, b, n, x in self.runs.get()]
+        for chunk in rows:
+            runs += [[int(us), int(us), 1, False] for us in chunk["us"]]
+        merged: list[list] = []
+        for run in sorted(runs):
+            last = merged[-1] if merged else None
+            if last and run[0] < last[1] + self.gap_us:
+                last[1], last[2], last[3] = max(last[1], run[1]), last[2] + run[2], last[3] or run[3]
+            else:
+                merged.append(run)
+        self.runs.put([tuple(r) for r in merged])
+        for first, last, _, announced in merged:
+            for at in ([] if announced else [first]) + [last + self.gap_us]:
+                self.handle.registerTimer(-(-at // 1000))
+        yield pd.DataFrame(columns=self.COLUMNS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        out, left = [], []
+        for first, last, n, announced in ([*r] for r in self.runs.get()):
+            if not announced and first <= passed:
+                out.append((key[0], "LIVE", first, None, None))
+                announced = True
+            if last + self.gap_us <= passed:
+                out.append((key[0], "OFFLINE", last + self.gap_us, n, last))
+            else:
+                left.append((first, last, n, announced))
+        self.runs.put(left) if left else self.runs.clear()
+        yield pd.DataFrame(out, columns=self.COLUMNS).astype({"heartbeats": "Int64", "last_us": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
 def per_second_stream(df: DataFrame, key: str, time: str, delay: str, **aggs) -> DataFrame:
     """Append-mode aggregate to one row per (key, second)."""
     return (
