@@ -161,7 +161,8 @@ def evaluate(tables, name: str, ctx: Context, by: list = (), where: Column | Non
 def p95_query_duration(performance: DataFrame, by: list[str], where: Column | None = None) -> DataFrame:
     """Inclusive 95th percentile of the hourly 95th percentiles, exact."""
     rows = performance if where is None else performance.filter(where)
-    keyed = rows if by else rows.withColumn("all", F.lit(0))
+    # a constant would be folded out of the joins and leave a product
+    keyed = rows if by else rows.withColumn("all", F.pmod(F.xxhash64("duration_p95_ms"), F.lit(1)))
     out = exact_quantile(keyed, by or ["all"], "duration_p95_ms", 0.95)
     return out.select(*by, F.round("quantile", 4).alias("p95_query_duration_ms"))
 
