@@ -6,8 +6,8 @@ looked up in a bounded cache. A unit not seen yet is encoded by the library; a
 single pre-token of letters or signs goes through ``tiktoken``'s merge loop over
 the ranks of the same vocabulary, which is several times faster per word. The
 two agree if every vocabulary entry encodes to itself (a merge inside a span sees
-nothing outside of it), which is checked when the vocabulary is opened; otherwise
-the library alone is used. Texts with special tokens, unusual controls or an
+nothing outside of it), which is checked for all entries that are valid text when
+the first word is met; otherwise the library alone is used. Texts with special tokens, unusual controls or an
 unknown kind of vocabulary go to the library whole.
 """
 
@@ -23,11 +23,12 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Entries that a cache holds at most, and the longest unit that is kept.
-CACHE_UNITS, CACHE_WORDS, LONGEST_KEPT = 300_000, 400_000, 48
+CACHE_UNITS, CACHE_WORDS, CACHE_FIRSTS, LONGEST_KEPT = 300_000, 400_000, 50_000, 48
 #: ASCII signs that form one run for the pre-tokenisers; the apostrophe opens contractions.
 SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 #: A unit that ends so closes a sentence; a line break does as well.
 SENTENCE_ENDS = (".", "!", "?")
+MARK = "\x01"
 #: Characters that Python takes for white space and the library does not.
 _ODD = re.compile("[\x1c-\x1f]")
 _DOUBLE = re.compile(r"\s\s")
@@ -79,6 +80,7 @@ class Encoder:
             self.plain.normalizer = normalizers.Sequence([])
         self._merge = None
         self._words = _Kept(self._first_word, CACHE_WORDS)
+        self._firsts = _Kept(self._bare, CACHE_FIRSTS)
         self._units = _Kept(self._spaced if self.kind == "byte" else self._bare, CACHE_UNITS)
 
     # -- single units -------------------------------------------------------
@@ -140,12 +142,7 @@ class Encoder:
         return self._split_unit(unit, "")
 
     def _spaced(self, unit: str) -> bytes:
-        """``unit`` with the space before it; single line breaks are units of their own."""
-        if "\n" in unit:
-            first, *rest = unit.split("\n")
-            if unit.split() == [first, *rest]:
-                brk = self._words["\n"]
-                return self._split_unit(first, " ") + b"".join(brk + self._split_unit(x, "") for x in rest)
+        """``unit`` with the space before it."""
         return self._split_unit(unit, " ")
 
     # -- whole texts --------------------------------------------------------
@@ -173,9 +170,20 @@ class Encoder:
         if self.kind == "word":
             units = text.split()
             return list(map(self._units.__getitem__, units)), units
-        units = _SINGLE_SPACE.split(text) if _DOUBLE.search(text) else text.split(" ")
-        found = list(map(self._units.__getitem__, units))
-        found[0] = self._library(units[0]) if units[0] else b""
+        if not text or _DOUBLE.search(text):
+            units = _SINGLE_SPACE.split(text)
+            found = list(map(self._units.__getitem__, units))
+            found[0] = self._library(units[0]) if units[0] else b""
+            return found, units
+        # single white space only: a unit follows each space, or opens a line behind the break's own token
+        found, units, spaced = [], [], self._units.__getitem__
+        for k, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            opening = self._firsts[first] if first else b""
+            found.append(self._words["\n"] + opening if k else opening)
+            found += map(spaced, rest)
+            units.append(first)
+            units += rest
         return found, units
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -193,13 +201,15 @@ class Encoder:
             return self.encode(text), np.empty(0, np.int64)
         parts, units = found
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
-        closing = [k for k, u in enumerate(units) if u.endswith(SENTENCE_ENDS)]
-        places = ends[closing].tolist()
-        if "\n" in text and self.kind == "byte":
-            for k, u in enumerate(units):
-                if k and "\n" in u and (head := u[: u.index("\n")]) and u.split() == u.split("\n"):
-                    places.append(int(ends[k - 1]) + len(self._split_unit(head, " ")) // 4)
-        return np.frombuffer(b"".join(parts), "<i4"), np.unique(np.array(places, np.int64))
+        marked = self.normalize(text)
+        if self.kind == "byte" and not _DOUBLE.search(marked) and MARK not in marked:
+            for sign in SENTENCE_ENDS:
+                marked = marked.replace(sign + " ", sign + MARK)
+            counts = [x.count(" ") + 1 for x in marked.replace("\n", MARK).split(MARK)]
+            closing = np.cumsum(counts) - 1
+        else:
+            closing = np.array([k for k, u in enumerate(units) if u.endswith(SENTENCE_ENDS)], np.int64)
+        return np.frombuffer(b"".join(parts), "<i4"), np.unique(ends[closing])
 
     def encode_normal(self, text: str) -> np.ndarray:
         """The same for a plain text that is normalised already."""
