@@ -47,18 +47,18 @@ REFERENCES = np.concatenate([BASES, *(BASES ^ m for m in MASKS)])
 
 
 # -- fingerprints ------------------------------------------------------------
-def shingle_hashes(text: str | None) -> np.ndarray:
-    """Unsigned XXH64 of every shingle; a text of fewer words is one shingle, without a word none."""
+def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Unsigned XXH64 of every shingle of ``size`` words; a text of fewer words is one shingle, without a word none."""
     words = text.encode().lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    if len(words) <= SHINGLE:
+    if len(words) <= size:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
     whole = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[:-1]])
-    n = len(words) - SHINGLE + 1
-    pieces = map(whole.__getitem__, map(slice, starts[:n].tolist(), (ends[SHINGLE - 1:] - 1).tolist()))
+    n = len(words) - size + 1
+    pieces = map(whole.__getitem__, map(slice, starts[:n].tolist(), (ends[size - 1:] - 1).tolist()))
     return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, n)
 
 
