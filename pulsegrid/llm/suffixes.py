@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import fresh, map_arrow, ship, written
+from pulsegrid.llm.passages import repeated_passages, with_texts
 
 LENGTH, REACH, GRAM = 400, 256, 16
 BLOCK = LENGTH - REACH
@@ -476,9 +477,19 @@ def removal_report(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     )
 
 
-def dedup_substrings(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
-    """``df`` with the repeated bytes taken out of ``text``; a character cut in two goes as a whole."""
+def dedup_substrings(
+    df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT, passage_words: int | None = None,
+) -> DataFrame:
+    """``df`` with the repeated bytes taken out of ``text``; a character cut in two goes as a whole.
+
+    With ``passage_words`` repeated passages of so many words go too, also those shorter than ``LENGTH`` bytes.
+    """
     documents, partly = repeated_spans(df, key, text, hot)
+    if passage_words:
+        spans = partly.select("digest", "spans").unionByName(repeated_passages(df, passage_words, text))
+        partly = with_texts(
+            df, spans.groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")), text
+        )
     cut = _cut(partly).select("digest", F.col("kept").alias("left"))
     lone = documents.filter((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).select(
         "digest", F.lit(b"").alias("left")
