@@ -50,6 +50,20 @@ def test_stages(spark, tmp_path):
     assert sorted(map(key, run)) == sorted(map(key, pieces))
 
 
+def test_repeated_rows_and_null_ids_stay_once(spark, tmp_path):
+    rnd = random.Random(12)
+    rows = [(k, ".\n".join(words(rnd, 9) for _ in range(8)) + ".", "xx") for k in range(60)]
+    rows += [(100 + k, ".\n".join(speak(rnd, "yy", 9) for _ in range(8)) + ".", "yy") for k in range(60)]
+    lone, long = words(rnd, 90), ".\n".join(words(rnd, 9) for _ in range(12)) + "."
+    rows += [(200, lone, "xx")] * 3 + [(None, long, "xx")] * 2 + [(None, words(rnd, 70), "xx"), rows[3], rows[3]]
+    df = spark.createDataFrame([(k, t, la, "s", len(t)) for k, t, la in rows], SCHEMA)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = stage(spark, df, str(tmp_path))
+        df.write.parquet(f"{tmp_path}/{name}")
+        df = spark.read.parquet(f"{tmp_path}/{name}")
+    assert sorted((str(r["doc_id"]), r["text"]) for r in df.collect()) == sorted({(str(k), t) for k, t, _ in rows})
+
+
 def test_every_operator_is_registered():
     queries, checks = registered()
     assert {int(q[2:].split("_")[0]) for q in queries if q != "pipeline"} == set(range(1, 11))
