@@ -143,35 +143,39 @@ def _document_counts(train: DataFrame) -> tuple[np.ndarray, int]:
 def _sample(train: DataFrame, rows_per_class: int) -> list:
     """(lang, buckets, counts) of the rows of smallest id hash, the same number at most for each language.
 
-    The chosen ids are broadcast: they are ``rows_per_class`` for each class of the model at most.
+    Rows of one id are ranked by the hash of the text, and equal rows come as one with their
+    number, so an id on many rows brings no more than its share. The chosen rows are
+    broadcast: they are ``rows_per_class`` for each class of the model at most.
     """
-    best = [F.xxhash64("id"), F.col("id")]
+    best = [F.xxhash64("id"), F.col("id"), F.col("h")]
+    hashed = train.withColumn("h", F.xxhash64("text"))
 
     def first(df: DataFrame, *by) -> DataFrame:
         ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*best)))
         return ranked.filter(F.col("rank") <= rows_per_class).drop("rank")
 
     # slices of a language first, so that what meets in one task does not grow with the input
-    sliced = first(train.select("id", "lang"), "lang", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
-    chosen = first(sliced, "lang").select("id").distinct()
+    sliced = first(hashed.select("id", "lang", "h"), "lang", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
+    chosen = first(sliced, "lang").groupBy("id", "lang", "h").agg(F.count("*").alias("times"))
 
     def make():
         def step(batch):
             found = [gram_counts(x.as_py()) for x in batch.column(1)]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([f[k].tolist() for f in found], pa.list_(pa.int64())) for k in (0, 1)),
-                 batch.column(2)],
-                ["lang", "at", "n", "id"],
+                 *batch.columns[2:]],
+                ["lang", "at", "n", "id", "h", "times"],
             )
 
         return step
 
+    sample = hashed.join(F.broadcast(chosen), ["id", "lang", "h"]).dropDuplicates(["id", "lang", "h"])
     rows = map_arrow(
-        train.join(F.broadcast(chosen), "id", "left_semi").select("lang", "text", "id"), make,
-        "lang string, at array<long>, n array<long>, id string",
+        sample.select("lang", "text", "id", "h", "times"), make,
+        "lang string, at array<long>, n array<long>, id string, h long, times long",
     ).collect()
-    rows = sorted(rows, key=lambda r: (r["id"], r["lang"]))
-    return [(r["lang"], np.array(r["at"], np.int64), np.array(r["n"], np.int64)) for r in rows]
+    rows = sorted(rows, key=lambda r: (r["id"], r["lang"], r["h"]))
+    return [(r["lang"], np.array(r["at"], np.int64), np.array(r["n"], np.int64)) for r in rows for _ in range(r["times"])]
 
 
 def fit(train: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:

@@ -46,6 +46,16 @@ def test_language_of_odd_texts(spark):
     assert kept.columns == df.columns and kept.count() == sum(any(c.isalpha() for c in t or "") for t in odd_texts())
 
 
+def test_language_sample_is_bounded_in_rows(spark):
+    rnd = random.Random(41)
+    rows = [("hot", speak(rnd, lang), lang) for lang in ("xx", "yy") for _ in range(60)] + [("hot", "ka lo mi", "xx")] * 60
+    rows += [(str(k), speak(rnd, "xx"), "xx") for k in range(3)] + [("twice", "sch ung", "zz")] * 2
+    train = spark.createDataFrame(rows, "id string, text string, lang string")
+    assert Counter(r[0] for r in language._sample(train, 20)) == {"xx": 20, "yy": 20, "zz": 2}
+    every = language._sample(train, 1000)
+    assert Counter(r[0] for r in every) == {"xx": 123, "yy": 60, "zz": 2}
+
+
 def test_language_without_training_rows(spark):
     model = language.fit_documents(labelled(spark).filter("false"))
     assert {r["lang_pred"] for r in language.predict(docs(spark, [(1, "text")]), model).collect()} == {"und"}
