@@ -439,15 +439,28 @@ def cut_spans(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int
     return b"".join(kept), removed, runs
 
 
-def _cut(partly: DataFrame) -> DataFrame:
-    """(digest, kept, n_removed, n_spans) from (digest, text, spans)."""
+def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans widened to the borders of the UTF-8 characters they cut in two."""
+    out = []
+    for start, stop in spans:
+        while start < len(raw) and raw[start] & 0xC0 == 0x80:
+            start -= 1
+        while stop < len(raw) and raw[stop] & 0xC0 == 0x80:
+            stop += 1
+        out.append((start, stop))
+    return out
+
+
+def _cut(partly: DataFrame, widen: bool = False) -> DataFrame:
+    """(digest, kept, n_removed, n_spans) from (digest, text, spans); with ``widen`` characters go as a whole."""
+    adjust = whole_characters if widen else lambda raw, spans: spans
 
     def make():
         def step(batch):
-            found = [
-                cut_spans(text.as_py().encode(), [(x["start"], x["stop"]) for x in spans.as_py()])
-                for text, spans in zip(batch.column(1), batch.column(2))
-            ]
+            found = []
+            for text, spans in zip(batch.column(1), batch.column(2)):
+                raw = text.as_py().encode()
+                found.append(cut_spans(raw, adjust(raw, [(x["start"], x["stop"]) for x in spans.as_py()])))
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in found], pa.binary()),
                  pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64())],
@@ -490,7 +503,7 @@ def dedup_substrings(
         partly = with_texts(
             df, spans.groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")), text
         )
-    cut = _cut(partly).select("digest", F.col("kept").alias("left"))
+    cut = _cut(partly, widen=True).select("digest", F.col("kept").alias("left"))
     lone = documents.filter((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).select(
         "digest", F.lit(b"").alias("left")
     )
@@ -501,7 +514,5 @@ def dedup_substrings(
         changed.select(F.col("digest").alias(fresh(df, "changed")), F.col("left").alias(left)),
         F.col(of) == F.col(fresh(df, "changed")), "left",
     )
-    # bytes of a cut character become U+FFFD and are dropped
-    whole = F.replace(F.make_valid_utf8(F.col(left).cast("string")), F.lit("\ufffd"), F.lit(""))
-    new = F.when(F.col(left).isNull(), F.col(f"`{text}`")).otherwise(whole)
+    new = F.when(F.col(left).isNull(), F.col(f"`{text}`")).otherwise(F.col(left).cast("string"))
     return joined.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])

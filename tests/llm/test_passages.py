@@ -7,7 +7,7 @@ import corpus_pipeline
 import numpy as np
 from corpus import docs, odd_texts, words
 
-from pulsegrid.llm import passages
+from pulsegrid.llm import passages, suffixes
 
 N = 51
 
@@ -88,3 +88,13 @@ def test_anchors_by_brute_force(monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(passages, "PIECE", 37)
             assert passages.anchors(w, N)[0].tolist() == want
+
+
+def test_characters_go_whole_and_replacement_characters_stay(spark):
+    rnd = random.Random(34)
+    text = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    p, q = text(500), text(450)
+    # é and è share their first byte, é and ũ their last one
+    rows = [(1, f"one\ufffd {p}é two\ufffd"), (2, f"{p}è three"), (3, f"four é{q} \ufffd"), (4, f"five ũ{q}. six"), (5, "x\ufffdy")]
+    got = {r["doc_id"]: r["text"] for r in suffixes.dedup_substrings(docs(spark, rows)).collect()}
+    assert got == {1: "one\ufffd  two\ufffd", 2: " three", 3: "four  \ufffd", 4: "five . six", 5: "x\ufffdy"}
