@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import fresh, map_arrow, ship, written
-from pulsegrid.llm.passages import repeated_passages, with_texts
+from pulsegrid.llm.passages import repeated_passages, whole_texts
 
 LENGTH, REACH, GRAM = 400, 256, 16
 BLOCK = LENGTH - REACH
@@ -451,16 +451,15 @@ def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def _cut(partly: DataFrame, widen: bool = False) -> DataFrame:
-    """(digest, kept, n_removed, n_spans) from (digest, text, spans); with ``widen`` characters go as a whole."""
-    adjust = whole_characters if widen else lambda raw, spans: spans
+def _cut(partly: DataFrame) -> DataFrame:
+    """(digest, kept, n_removed, n_spans) from (digest, text, spans)."""
 
     def make():
         def step(batch):
-            found = []
-            for text, spans in zip(batch.column(1), batch.column(2)):
-                raw = text.as_py().encode()
-                found.append(cut_spans(raw, adjust(raw, [(x["start"], x["stop"]) for x in spans.as_py()])))
+            found = [
+                cut_spans(text.as_py().encode(), [(x["start"], x["stop"]) for x in spans.as_py()])
+                for text, spans in zip(batch.column(1), batch.column(2))
+            ]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in found], pa.binary()),
                  pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64())],
@@ -498,21 +497,28 @@ def dedup_substrings(
     With ``passage_words`` repeated passages of so many words go too, also those shorter than ``LENGTH`` bytes.
     """
     documents, partly = repeated_spans(df, key, text, hot)
+    lone = documents.filter((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).select("digest").distinct()
+    spans = partly.select("digest", "spans").unionByName(whole_texts(lone))
     if passage_words:
-        spans = partly.select("digest", "spans").unionByName(repeated_passages(df, passage_words, text))
-        partly = with_texts(
-            df, spans.groupBy("digest").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")), text
-        )
-    cut = _cut(partly, widen=True).select("digest", F.col("kept").alias("left"))
-    lone = documents.filter((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).select(
-        "digest", F.lit(b"").alias("left")
-    )
-    changed = cut.join(lone.select("digest"), "digest", "left_anti").unionByName(lone.distinct())
-    of, left = fresh(df, "digest_of"), fresh(df, "left")
+        spans = spans.unionByName(repeated_passages(df, passage_words, text))
+    of, changed, found = fresh(df, "digest_of"), fresh(df, "changed"), fresh(df, "spans")
+    spans = spans.groupBy(F.col("digest").alias(changed)).agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias(found))
     own = F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
-    joined = df.withColumn(of, own).join(
-        changed.select(F.col("digest").alias(fresh(df, "changed")), F.col("left").alias(left)),
-        F.col(of) == F.col(fresh(df, "changed")), "left",
-    )
-    new = F.when(F.col(left).isNull(), F.col(f"`{text}`")).otherwise(F.col(left).cast("string"))
-    return joined.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])
+    joined = df.withColumn(of, own).join(spans, F.col(of) == F.col(changed), "left")
+    place, last = df.columns.index(text), len(df.columns)
+
+    def make():
+        def step(batch):
+            columns = batch.columns[:last]
+            if batch.column(last).null_count < batch.num_rows:
+                new = columns[place].to_pylist()
+                for i in np.flatnonzero(batch.column(last).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    raw = (new[i] or "").encode()
+                    cut = whole_characters(raw, [(x["start"], x["stop"]) for x in batch.column(last)[i].as_py()])
+                    new[i] = cut_spans(raw, cut)[0].decode()
+                columns[place] = pa.array(new, columns[place].type)
+            return pa.RecordBatch.from_arrays(columns, batch.schema.names[:last])
+
+        return step
+
+    return map_arrow(joined.select(*[F.col(f"`{c}`") for c in df.columns], F.col(found)), make, df.schema)
