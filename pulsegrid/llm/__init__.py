@@ -7,10 +7,10 @@ def registered() -> tuple[dict, dict]:
     """(queries, check SQL) of all operators and of the pipeline."""
     import corpus_pipeline
 
-    from pulsegrid.llm import queries_layout, queries_pairs, queries_text, queries_tokens
+    from pulsegrid.llm import queries_corpus, queries_layout, queries_pairs, queries_text, queries_tokens
 
     queries, checks = {}, {}
-    for module in (queries_tokens, queries_text, queries_layout, queries_pairs):
+    for module in (queries_tokens, queries_text, queries_layout, queries_pairs, queries_corpus):
         queries |= module.QUERIES
         checks |= module.CHECKS
     queries["pipeline"] = corpus_pipeline.run
