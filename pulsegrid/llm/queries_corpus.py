@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import alignment
+from pulsegrid.llm import alignment, divergence
 from pulsegrid.llm.frames import documents
 
 
@@ -17,5 +17,9 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
-QUERIES = {"op11_alignment": op11_alignment}
-CHECKS: dict[str, str] = {}
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+QUERIES = {"op11_alignment": op11_alignment, "op13_divergence": op13_divergence}
+CHECKS = {"op13_divergence": divergence.CHECK}
