@@ -18,8 +18,13 @@ BATCH_ROWS = "1000"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's runtime settings, and batches of few rows."""
-    session.prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """The library's runtime settings, batches of few rows, and shuffle files that go when their query has ended.
+
+    Each step is written and the next one reads what was written, so nothing asks for those files again.
+    """
+    conf = session.prepare(spark).conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
