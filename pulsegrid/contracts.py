@@ -42,7 +42,23 @@ SYSTEM_COUNTER = {
     "GatewayCPUPercent": ("gateway_cpu", "double"),
     "GatewayMEMKb": ("gateway_mem_kb", "bigint"),
 }
+QUERY_AGGREGATION = {
+    "GatewayObjectId": ("node_id", "string"),
+    "AggregationStartTimeUTC": ("window_start_ts", "timestamp"),
+    "AggregationEndTimeUTC": ("window_end_ts", "timestamp"),
+    "DataSource": ("data_source", "string"),
+    "Success": ("success", "boolean"),
+    "AverageQueryExecutionDuration(ms)": ("duration_avg_ms", "double"),
+    "MaxQueryExecutionDuration(ms)": ("duration_max_ms", "bigint"),
+    "MinQueryExecutionDuration(ms)": ("duration_min_ms", "bigint"),
+    "QueryType": ("query_type", "string"),
+    "AverageDataProcessingDuration(ms)": ("processing_avg_ms", "double"),
+    "MaxDataProcessingDuration(ms)": ("processing_max_ms", "bigint"),
+    "MinDataProcessingDuration(ms)": ("processing_min_ms", "bigint"),
+    "Count": ("query_count", "bigint"),
+}
 LOG_HEADERS = {
+    "QueryAggregation": QUERY_AGGREGATION,
     "QueryExecution": QUERY_EXECUTION,
     "QueryStart": QUERY_START,
     "SystemCounter": SYSTEM_COUNTER,
@@ -55,6 +71,8 @@ REQUIRED = {
     "bronze_query_start": "request_id string, start_ts timestamp, evaluation_context string",
     "bronze_system_counter": "node_id string, counter_ts timestamp, system_cpu double, gateway_cpu double, "
     "gateway_mem_kb bigint",
+    "bronze_query_aggregation": "node_id string, window_start_ts timestamp, window_end_ts timestamp, "
+    "data_source string, query_type string, success boolean, query_count bigint, partition_date date",
     "bronze_network_metrics": "host_id string, nic string, collected_at timestamp, bytes_per_s double, "
     "utilization_pct double, latency_ms double, bandwidth_bps double, partition_date date",
     "bronze_event_log": "host_id string, evt_time timestamp, os_event_id int, level string, message string, "

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsegrid.config import DEFAULTS, Settings
@@ -13,8 +12,9 @@ from pulsegrid.operators import history, rollups as R
 from pulsegrid.operators.quality import FanoutGuard
 from pulsegrid.plans import correlate as C
 from pulsegrid.session import prepare
-from pulsegrid.sources import landing as L, tenant as T
-from pulsegrid.sources.storage import in_partitions, read_table, write_bronze, write_partitions
+from pulsegrid.sources import tenant as T
+from pulsegrid.sources.storage import BATCH, in_partitions, read_table, write_bronze, write_partitions
+from pulsegrid.streaming.landing import LANDINGS, Ingest
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,8 @@ class Lake:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame | None:
-        return read_table(self.spark, self.path(table), self.fmt)
+        found = read_table(self.spark, self.path(table), self.fmt)
+        return found if found is None else found.drop(BATCH)
 
     def read_or_empty(self, table: str) -> DataFrame:
         found = self.read(table)
@@ -51,48 +52,15 @@ class Lake:
         ).save(self.path(table))
 
 
-#: Landing file pattern, scan and flattener of each bronze table.
-WRAPPED = {
-    "bronze_network_metrics": ("network_metrics_*.json", L.NETWORK, L.flatten_network_metrics),
-    "bronze_event_log": ("event_log_*.json", L.EVENTS, L.flatten_event_log),
-    "bronze_disk_spool": ("disk_spool_*.json", L.DISK, L.flatten_disk_spool),
-    "bronze_inventory": ("gateway_inventory_*.json", L.INVENTORY, L.flatten_inventory),
-    "bronze_datasources": ("gateway_inventory_*.json", L.INVENTORY, L.flatten_datasources),
-    "bronze_refresh_history": ("refresh_history_*.json", L.REFRESH, L.flatten_refresh_history),
-}
-LOGS = {
-    "bronze_query_execution": ("QueryExecutionReport*.csv", "QueryExecution"),
-    "bronze_query_start": ("QueryStartReport*.csv", "QueryStart"),
-    "bronze_system_counter": ("SystemCounterReport*.csv", "SystemCounter"),
-}
+def ingest(lake: Lake, landing: str, max_files: int | None = None) -> dict[str, str]:
+    """Everything that landed since the last run, exactly once; see ``streaming.landing``.
 
-
-def ingest(lake: Lake, landing: str) -> dict[str, str]:
-    """One batch of landed files; for repeated runs use the streaming form.
-
-    A table whose files are absent is skipped and the others go on; returned are
-    the skipped tables and why. Any other error stops the run.
+    Returned are the tables that have no rows yet because no file for them has ever
+    landed (aggregated logs are optional).
     """
-    sources = {
-        table: lambda pattern=pattern, log_type=log_type: L.ingest_log(lake.spark, f"{landing}/{pattern}", log_type)
-        for table, (pattern, log_type) in LOGS.items()
-    }
-    for table, (pattern, schema, flatten) in WRAPPED.items():
-        sources[table] = lambda table=table, pattern=pattern, schema=schema, flatten=flatten: conform(
-            flatten(L.scan_wrapper_json(lake.spark, f"{landing}/{pattern}", schema)), table
-        )
-    sources["bronze_processes"] = lambda: L.scan_ndjson_processes(lake.spark, f"{landing}/MashupProcesses_*.json")
-    skipped = {}
-    for table, scan in sources.items():
-        try:
-            rows = scan()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            skipped[table] = error.getCondition()
-            continue
-        lake.append(rows, table)
-    return skipped
+    Ingest(lake.spark, lake.root, landing, lake.fmt, max_files=max_files).run()
+    tables = {t for source in LANDINGS for feeds in source.tables.values() for t, _ in feeds}
+    return {t: "PATH_NOT_FOUND" for t in sorted(tables - {"bronze_query_aggregation"}) if lake.read(t) is None}
 
 
 def host_of_node(inventory: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql.types import StructType
 from pulsegrid.session import prepare
 
 FORMATS = ("parquet", "delta", "orc")
+#: Partition column of bronze tables: the batch that wrote a row, so that a repeated batch replaces its own rows.
+BATCH = "ingest_batch"
 
 
 def table_format(name: str) -> str:
@@ -17,13 +19,15 @@ def table_format(name: str) -> str:
     return name
 
 
-def write_bronze(df: DataFrame, path: str, fmt: str = "parquet", partition: str = "partition_date") -> None:
+def write_bronze(
+    df: DataFrame, path: str, fmt: str = "parquet", partition: str = "partition_date", batch: str = "appended"
+) -> None:
     """Append; rows are gathered per partition first so a day is few files.
 
     New columns are simply written; readers merge the file schemas.
     """
-    gathered = df.hint("rebalance", F.col(partition))
-    writer = gathered.write.format(table_format(fmt)).mode("append").partitionBy(partition)
+    gathered = df.withColumn(BATCH, F.lit(batch)).hint("rebalance", F.col(partition))
+    writer = gathered.write.format(table_format(fmt)).mode("append").partitionBy(partition, BATCH)
     if fmt == "delta":
         writer = writer.option("mergeSchema", "true")
     writer.save(path)
