@@ -8,57 +8,72 @@ left, and the cube runs over the few combinations of those, not over rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-
-def _part(name: str) -> Column:
-    return F.concat(F.lit(f"{name}="), F.coalesce(F.col(name).cast("string"), F.lit("(null)")))
+from pulsegrid.session import materialize
 
 
 def _supported(df: DataFrame, spike: Column, cols: list[str], min_support: float) -> DataFrame:
     """Patterns whose share reaches ``min_support`` on either side.
 
-    Columns: ``parts`` (``col=value`` or null where open), ``pattern``, ``gid``,
-    counts and shares ``a``/``b``. The pattern with all columns open is included.
+    Columns: ``codes`` (per column 0 where open, else the number of its value), ``gid``, counts and
+    shares ``a``/``b``, ``pattern`` as text, ``fixed_columns``. The pattern with all columns
+    open is included. The source is read once; its combinations of values are written
+    and everything else reads those. Values are numbered per column, null has
+    a number of its own; text comes back at the end.
     """
     k = len(cols)
     slots = [f"v{i}" for i in range(k)]
-    rows = df.select(
-        spike.cast("int").alias("a"), (~spike).cast("int").alias("b"), *[_part(c).alias(v) for c, v in zip(cols, slots)]
+    value = lambda c: F.struct(F.col(c).isNull().alias("none"), F.col(c).cast("string").alias("text"))
+    combined = materialize(
+        df.select(spike.cast("int").alias("a"), (~spike).cast("int").alias("b"), *[value(c).alias(v) for c, v in zip(cols, slots)])
+        .groupBy(*slots).agg(F.sum("a").alias("a"), F.sum("b").alias("b")),
+        "pattern-values",
     )
-    # every row has one value in the first column, so its counts add up to the totals
+    # every row has one value in each column, so the counts of a column add up to the totals
     counts = (
-        rows.select("a", "b", F.posexplode(F.array(*slots)).alias("place", "value"))
-        .groupBy("place", "value")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        combined.select("a", "b", F.posexplode(F.array(*slots)).alias("place", "value"))
+        .groupBy("place", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
-    first = counts.filter("place = 0")
-    totals = first.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("t")).scalar()
-
-    def shares(table: DataFrame) -> DataFrame:
-        share = lambda s: F.coalesce(F.try_divide(F.col(s).cast("double"), F.col("t")[s]), F.lit(0.0))
-        kept = table.withColumn("t", totals).withColumns({"share_a": share("a"), "share_b": share("b")})
-        return kept.filter((F.col("share_a") >= min_support) | (F.col("share_b") >= min_support)).drop("t")
-
-    frequent = shares(counts).agg(F.collect_set("value")).scalar()  # at most 2k / min_support texts
-    counted = (
-        rows.withColumn("frequent", frequent)
-        .select("a", "b", *[F.when(F.array_contains("frequent", F.col(v)), F.col(v)).alias(v) for v in slots])
-        .groupBy(*slots)
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    of_column = Window.partitionBy("place")
+    share = lambda n, t: F.coalesce(F.try_divide(n.cast("double"), t), F.lit(0.0))
+    total = lambda c: F.sum(c).over(of_column)
+    frequent = counts.withColumns({"ta": total("a"), "tb": total("b")}).filter(
+        (share(F.col("a"), F.col("ta")) >= min_support) | (share(F.col("b"), F.col("tb")) >= min_support)
     )
-    cubed = counted.cube(*slots).agg(
-        F.sum("a").alias("a"), F.sum("b").alias("b"), F.grouping_id().cast("long").alias("gid")
+    known = frequent.orderBy("place", "value").collect()  # at most 2k / min_support values
+    texts: list[list[str]] = [[] for _ in cols]
+    codes: list[list[tuple]] = [[] for _ in cols]
+    for r in known:
+        codes[r.place].append((r.value.none, r.value.text))
+        texts[r.place].append(f"{cols[r.place]}={'(null)' if r.value.none else r.value.text}")
+    ta, tb = (known[0].ta, known[0].tb) if known else (0, 0)
+
+    def code(slot: str, values: list[tuple]) -> Column:
+        """1, 2, ... of a frequent value, 0 of the others."""
+        found = F.lit(0)
+        for number, (none, text) in enumerate(values, 1):
+            is_it = F.col(slot)["none"] if none else F.col(slot)["text"].eqNullSafe(F.lit(text))
+            found = F.when(is_it, number).otherwise(found)
+        return found.alias(slot)
+
+    cubed = (
+        combined.select("a", "b", *[code(v, values) for v, values in zip(slots, codes)])
+        .groupBy(*slots).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .cube(*slots).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.grouping_id().cast("long").alias("gid"))
     )
-    fixed = [F.col("gid").bitwiseAND(F.lit(1 << (k - 1 - i))) == 0 for i in range(k)]
+    is_fixed = [F.col("gid").bitwiseAND(F.lit(1 << (k - 1 - i))) == 0 for i in range(k)]
     no_rare = F.lit(True)
-    for is_fixed, v in zip(fixed, slots):
-        no_rare &= ~is_fixed | F.col(v).isNotNull()
-    return (
-        shares(cubed.filter(no_rare))
-        .withColumn("parts", F.array(*[F.when(f, F.col(v)) for f, v in zip(fixed, slots)]))
-        .select("gid", "a", "b", "share_a", "share_b", "parts", F.concat_ws(" & ", "parts").alias("pattern"),
-                (F.lit(k) - F.bit_count("gid")).cast("int").alias("fixed_columns"))
+    for fixed, v in zip(is_fixed, slots):
+        no_rare &= ~fixed | (F.col(v) > 0)
+    names = [F.when(fixed, F.get(F.array(*[F.lit(t) for t in ts] or [F.lit("")]), F.col(v) - 1)) for fixed, v, ts in zip(is_fixed, slots, texts)]
+    shares = cubed.filter(no_rare).withColumns({"share_a": share(F.col("a"), F.lit(ta)), "share_b": share(F.col("b"), F.lit(tb))})
+    return materialize(
+        shares.filter((F.col("share_a") >= min_support) | (F.col("share_b") >= min_support)).select(
+            "gid", "a", "b", "share_a", "share_b", F.array(*[F.when(f, F.col(v)).otherwise(0) for f, v in zip(is_fixed, slots)]).alias("codes"),
+            F.concat_ws(" & ", *names).alias("pattern"), (F.lit(k) - F.bit_count("gid")).cast("int").alias("fixed_columns"),
+        ),
+        "pattern-supported",
     )
 
 
@@ -69,24 +84,17 @@ def diff_patterns(df: DataFrame, spike: Column, cols: list[str], min_support: fl
     column less has the same two counts. Ranked by size of the difference.
     """
     supported = _supported(df, spike, cols, min_support)
-    parents = F.array(
-        *[
-            F.when(
-                F.col("parts")[i].isNotNull(),
-                F.concat_ws(" & ", *[F.col("parts")[j] for j in range(len(cols)) if j != i]),
-            )
-            for i in range(len(cols))
-        ]
-    )
+    opened = lambda i: F.array(*[F.lit(0) if j == i else F.col("codes")[j] for j in range(len(cols))])
+    parents = F.array(*[F.when(F.col("codes")[i] > 0, opened(i)) for i in range(len(cols))])
     same_as_parent = (
-        supported.select("pattern", "a", "b", F.explode(parents).alias("up"))
-        .join(supported.select(F.col("pattern").alias("up"), F.col("a").alias("pa"), F.col("b").alias("pb")), "up")
+        supported.select("codes", "a", "b", F.explode(parents).alias("up"))
+        .join(supported.select(F.col("codes").alias("up"), F.col("a").alias("pa"), F.col("b").alias("pb")), "up")
         .filter((F.col("a") == F.col("pa")) & (F.col("b") == F.col("pb")))
-        .select("pattern")
+        .select("codes")
     )
     return (
-        supported.filter(F.col("pattern") != "")
-        .join(same_as_parent, "pattern", "left_anti")
+        supported.filter("fixed_columns > 0")
+        .join(same_as_parent, "codes", "left_anti")
         .select(
             "pattern",
             "fixed_columns",
@@ -111,7 +119,7 @@ def auto_cluster(df: DataFrame, cols: list[str], weight: float = 0.6, min_suppor
     specificity = F.col("fixed_columns") / F.lit(float(k))
     supported = (
         _supported(df, F.lit(True), cols, min_support)
-        .filter(F.col("pattern") != "")
+        .filter("fixed_columns > 0")
         .withColumn(
             "score",
             F.round(F.pow("share_a", F.lit(weight)) * F.pow(specificity, F.lit(1.0 - weight)), 6),
@@ -119,20 +127,19 @@ def auto_cluster(df: DataFrame, cols: list[str], weight: float = 0.6, min_suppor
     )
     # every pattern that contains this one: open further columns, mask by mask
     masks = F.explode(F.sequence(F.lit(0), F.lit((1 << k) - 2))).alias("mask")
-    opened = [
-        F.when(F.col("mask").bitwiseAND(F.lit(1 << (k - 1 - i))) == 0, F.col("parts")[i])
-        for i in range(k)
-    ]
+    opened = F.array(*[
+        F.when(F.col("mask").bitwiseAND(F.lit(1 << (k - 1 - i))) == 0, F.col("codes")[i]).otherwise(0) for i in range(k)
+    ])
     pairs = (
-        supported.select("pattern", "gid", "score", "parts", masks)
+        supported.select("codes", "gid", "score", masks)
         .filter((F.col("mask").bitwiseAND(F.col("gid")) == F.col("gid")) & (F.col("mask") != F.col("gid")))
-        .select("pattern", "score", F.concat_ws(" & ", *opened).alias("wider"))
-        .join(supported.select(F.col("pattern").alias("wider"), F.col("score").alias("wider_score")), "wider")
+        .select("codes", "score", opened.alias("wider"))
+        .join(supported.select(F.col("codes").alias("wider"), F.col("score").alias("wider_score")), "wider")
     )
     wider_wins = F.col("wider_score") > F.col("score")
-    losers = pairs.select(F.when(wider_wins, F.col("pattern")).otherwise(F.col("wider")).alias("pattern"))
+    losers = pairs.select(F.when(wider_wins, F.col("codes")).otherwise(F.col("wider")).alias("codes"))
     return (
-        supported.join(losers, "pattern", "left_anti")
+        supported.join(losers, "codes", "left_anti")
         .select(
             "pattern",
             "fixed_columns",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsegrid.config import DEFAULTS, Settings
 from pulsegrid.functions.scalars import epoch
@@ -77,37 +77,61 @@ def service_stability(os_events: DataFrame) -> DataFrame:
     )
 
 
+def _summary(value: str, over: Window) -> Column:
+    """(n, mean, m2) of the values in a window frame; m2 is the sum of squared distances to the mean."""
+    n = F.count(value).over(over)
+    return F.struct(n.alias("n"), F.avg(value).over(over).alias("mean"), (F.var_pop(value).over(over) * n).alias("m2"))
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """The summary of two disjoint sets from theirs; ``b`` may be null."""
+    n = a["n"] + b["n"]
+    apart = b["mean"] - a["mean"]
+    both = F.struct(
+        n.alias("n"), (a["mean"] + apart * (b["n"] / n)).alias("mean"),
+        (a["m2"] + b["m2"] + apart * apart * (a["n"] * (b["n"] / n))).alias("m2"),
+    )
+    return F.when(b.isNull(), a).otherwise(both)
+
+
 def rolling_stats(df: DataFrame, key: str, time: str, value: str, window_s: int = 900) -> DataFrame:
     """Per (key, second): count, mean and deviation over the trailing window.
 
-    Running totals add and take off values, which loses all digits of a deviation
-    that is small beside the values. So the totals are of differences to the key's
-    mean, in parts of the key's range and as decimals, where adding and taking off is exact.
+    Nothing is ever taken off, so a huge value leaves no trace once it is out of the window.
+    Time is cut into blocks as long as the window. A window is then the end of one block
+    and the start of the next: summaries (count, mean, squared distances) of all starts and
+    all ends of a block grow by one row at a time, and two of them are merged.
+    A sort holds one block of a key.
     """
     v = F.col(value).cast("double")
-    known = df.filter(v.isNotNull() & ~F.isnan(v)).dropna(subset=[key])
-    spread = F.max(v) - F.min(v)
-    centre = known.groupBy(F.col(key).alias("_key")).agg(
-        F.avg(v).alias("_centre"), F.when(spread > 0, spread).otherwise(1.0).alias("_range")
+    block = F.floor(F.col("sec") / F.lit(window_s + 1))
+    known = (
+        df.filter(v.isNotNull() & ~F.isnan(v)).select(key, epoch(F.col(time)).alias("sec"), v.alias("v")).dropna()
+        .withColumn("block", block)
+    )
+    whole = Window.partitionBy(key, "block")
+    grown = lambda order: whole.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = (
+        known.withColumns({"start": _summary("v", grown(F.col("sec"))), "end": _summary("v", grown(F.col("sec").desc()))})
+        .dropDuplicates([key, "block", "sec"]).select(key, "block", "sec", "start", "end")
     )
-    exact = "decimal(38, 18)"
-    off = (v - F.col("_centre")) / F.col("_range")
-    per_sec = (
-        lookup_join(known, centre, [(key, "_key")])
-        .groupBy(key, epoch(F.col(time)).alias("sec"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(off.cast(exact)).cast(exact).alias("s"),
-             F.sum((off * off).cast(exact)).cast(exact).alias("q"))
-        .dropna()
+    # each second asks the block before for the end that begins at the first second inside its window
+    asks = ends.select(key, (F.col("block") - 1).alias("block"), (F.col("sec") - window_s).alias("at"), F.lit(0).alias("holds"),
+                       "sec", "start", F.lit(None).cast(ends.schema["end"].dataType).alias("end"))
+    holds = ends.select(key, "block", F.col("sec").alias("at"), F.lit(1).alias("holds"),
+                        F.lit(None).cast("long").alias("sec"), F.lit(None).cast(ends.schema["start"].dataType).alias("start"), "end")
+    behind = whole.orderBy(F.desc("at"), F.desc("holds")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        asks.unionByName(holds).withColumn("before", F.last("end", ignorenulls=True).over(behind)).filter("holds = 0")
+        .select(key, "sec", _merged(F.col("start"), F.col("before")).alias("w"))
     )
-    sums = sums_within(per_sec, per_sec, [key], ["n", "s", "q"], window_s, 0)
-    total, squares = F.col("s").cast("double"), F.col("q").cast("double")
-    variance = (squares - total * total / F.col("n")) / (F.col("n") - 1)
-    return lookup_join(sums, centre, [(key, "_key")]).select(
+    deviation = F.sqrt(F.greatest(F.col("w.m2"), F.lit(0.0)) / (F.col("w.n") - 1))
+    return found.select(
         key,
         F.timestamp_seconds("sec").alias("at"),
-        F.col("n").alias("samples"),
-        F.round(F.col("_centre") + total / F.col("n") * F.col("_range"), 3).alias("mean"),
-        F.round(F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0))) * F.col("_range")), 3).alias("deviation"),
+        F.col("w.n").alias("samples"),
+        F.round("w.mean", 3).alias("mean"),
+        F.round(F.when(F.col("w.n") > 1, deviation), 3).alias("deviation"),
     )
 
 

@@ -134,3 +134,37 @@ def test_rolling_deviation_of_large_values(spark):
         if len(window) > 1:
             assert r.deviation == pytest.approx(window.std(), abs=1e-3)
         assert r["mean"] == pytest.approx(window.mean(), abs=1e-3)
+
+
+T0 = 1_700_000_000
+
+
+def test_rolling_deviation_beside_a_huge_value(spark):
+    """A reading of 1e12, then values near 1,000: no digit of the deviation is lost."""
+    import math
+
+    rows = [("k", T0, 1e12)] + [("k", T0 + 1000 + 10 * i, 1000.0 + 200 * (i % 2)) for i in range(300)] + [("k", T0 + 1500, 1000.5)]
+    rows += [("m", T0 + i, 1e9 + i % 3) for i in range(0, 3000, 7)]
+    df = spark.createDataFrame(rows, "k string, s long, v double").withColumn("t", F.timestamp_seconds("s"))
+    got = {(r.k, int(r["at"].timestamp())): r for r in rolling_stats(df, "k", "t", "v", 900).collect()}
+    for k, s, _ in rows:
+        own = [v for a, b, v in rows if a == k and s - 900 <= b <= s]
+        mean = math.fsum(own) / len(own)
+        want = math.sqrt(math.fsum((v - mean) ** 2 for v in own) / (len(own) - 1)) if len(own) > 1 else None
+        r = got[k, s]
+        assert r.samples == len(own) and abs(r["mean"] - mean) <= 0.0011 + 1e-9 * abs(mean)
+        assert (r.deviation is None) == (want is None) and (want is None or abs(r.deviation - want) <= 0.0006 + 1e-9 * want)
+    assert len(got) == len({(k, s) for k, s, _ in rows})
+
+
+def test_patterns_keep_null_and_its_text_apart(spark):
+    from pulsegrid.operators.patterns import auto_cluster, diff_patterns
+
+    rows = [(None, "x", True)] * 50 + [("(null)", "x", False)] * 50
+    df = spark.createDataFrame(rows, "c string, d string, spike boolean")
+    got = [tuple(r) for r in diff_patterns(df, F.col("spike"), ["c", "d"]).collect()]
+    assert sorted(got) == [("c=(null)", 1, 0, 50, 0.0, 100.0, -100.0), ("c=(null)", 1, 50, 0, 100.0, 0.0, 100.0)]
+    plan = diff_patterns(df, F.col("spike"), ["c", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") <= 3
+    assert [r["rows"] for r in auto_cluster(df, ["c"]).collect()] == [50, 50]
+    assert diff_patterns(df.filter("false"), F.col("spike"), ["c"]).count() == 0
