@@ -41,6 +41,37 @@ SELECT *, avg(value - trend) OVER (PARTITION BY {key}, slot) AS seasonal FROM (
       regr_intercept(value, idx) OVER (PARTITION BY {key}) AS intercept FROM {view}))"""
 
 
+def period_view(view, key):
+    """Highest significant peak of the autocorrelation at all lags, behind its first dip; else 1."""
+    return f"""
+WITH flat AS (
+  SELECT {key}, idx, value - (intercept + slope * idx) AS d, steps FROM (
+    SELECT *, regr_slope(value, idx) OVER (PARTITION BY {key}) AS slope, count(*) OVER (PARTITION BY {key}) AS steps,
+      regr_intercept(value, idx) OVER (PARTITION BY {key}) AS intercept FROM {view})),
+squares AS (SELECT {key}, sum(d * d) AS q, any_value(steps) AS steps FROM flat GROUP BY 1),
+lags AS (
+  SELECT a.{key}, a.idx - b.idx AS p, round(sum(a.d * b.d) / any_value(q), 6) AS r, any_value(s.steps) AS steps
+  FROM flat a JOIN flat b ON a.{key} = b.{key} AND a.idx - b.idx BETWEEN 1 AND a.steps // 2
+  JOIN squares s ON s.{key} = a.{key} WHERE q > 1e-9 GROUP BY 1, 2),
+near AS (
+  SELECT *, lag(r) OVER w AS before, lead(r) OVER w AS behind,
+    min(CASE WHEN r <= 0 THEN p END) OVER (PARTITION BY {key}) AS dip FROM lags WINDOW w AS (PARTITION BY {key} ORDER BY p)),
+peaks AS (
+  SELECT {key}, p, r, row_number() OVER (PARTITION BY {key} ORDER BY r DESC, p) AS rn
+  FROM near WHERE p > dip AND r >= before AND r > behind AND r > 2.0 / sqrt(steps))
+SELECT s.{key}, CAST(coalesce(p, 1) AS INTEGER) AS period, r AS autocorrelation
+FROM squares s LEFT JOIN peaks k ON k.{key} = s.{key} AND rn = 1"""
+
+
+def auto_fitted_view(view, key):
+    return f"""
+SELECT *, avg(value - trend) OVER (PARTITION BY {key}, slot) AS seasonal FROM (
+  SELECT *, intercept + slope * idx AS trend, idx % period AS slot FROM (
+    SELECT v.*, p.period, regr_slope(value, idx) OVER (PARTITION BY v.{key}) AS slope,
+      regr_intercept(value, idx) OVER (PARTITION BY v.{key}) AS intercept
+    FROM {view} v JOIN {view}_period p ON v.{key} = p.{key}))"""
+
+
 def scored_view(fitted, key, threshold):
     return f"""
 SELECT {key}, idx, bin, value, baseline, score,
@@ -76,6 +107,15 @@ VIEWS["drift_fit"] = fitted_view("drift_series", "data_source", 24)
 VIEWS["drift_scored"] = scored_view("drift_fit", "data_source", 2.0)
 
 
+for _name, _key in (("cpu_series", "node_id"), ("cpu5_series", "node_id"), ("spool_series", "host_id"), ("drift_series", "data_source")):
+    VIEWS[f"{_name}_period"] = period_view(_name, _key)
+VIEWS["cpu_auto"] = auto_fitted_view("cpu_series", "node_id")
+VIEWS["cpu_auto_scored"] = scored_view("cpu_auto", "node_id", 1.5)
+VIEWS["cpu5_auto"] = auto_fitted_view("cpu5_series", "node_id")
+VIEWS["drift_auto"] = auto_fitted_view("drift_series", "data_source")
+VIEWS["drift_auto_scored"] = scored_view("drift_auto", "data_source", 2.0)
+
+
 def cpu_series(s, d):
     return T.make_series(B.counters(s, d), ["node_id"], "counter_ts", F.avg("system_cpu"),
                          ts(FIRST), B.as_of(), HOUR)
@@ -86,11 +126,13 @@ def cpu5_series(s, d):
                          ts("2024-01-24 00:00:00"), B.as_of(), FIVE)
 
 
+def spool_series(s, d):
+    return T.make_series(B.spool(s, d), ["host_id"], "collected_at", F.avg("free_bytes") / F.lit(1073741824.0),
+                         ts("2024-01-28 00:00:00"), B.as_of(), FIVE)
+
+
 def spool_forecast(s, d):
-    series = T.make_series(B.spool(s, d), ["host_id"], "collected_at",
-                           F.avg("free_bytes") / F.lit(1073741824.0),
-                           ts("2024-01-28 00:00:00"), B.as_of(), FIVE)
-    return T.forecast(series, ["host_id"], 1, 24, FIVE)
+    return T.forecast(spool_series(s, d), ["host_id"], 1, 24, FIVE)
 
 
 def rounded(df, **digits):
@@ -256,6 +298,32 @@ add(
                   FIRST, 30, 86400) + ")",
 )
 
+add("series_period_hourly", lambda s, d: T.find_period(cpu_series(s, d), ["node_id"]), "SELECT * FROM cpu_series_period")
+add("series_period_5min", lambda s, d: T.find_period(cpu5_series(s, d), ["node_id"]), "SELECT * FROM cpu5_series_period")
+add("series_period_spool", lambda s, d: T.find_period(spool_series(s, d), ["host_id"]), "SELECT * FROM spool_series_period")
+add(
+    "series_decompose_auto",
+    lambda s, d: rounded(T.decompose_anomalies(cpu_series(s, d), ["node_id"], T.AUTO), value=4, baseline=4, score=4),
+    """SELECT node_id, idx, bin, round(value, 4) + 0 AS value, round(baseline, 4) + 0 AS baseline,
+       round(score, 4) + 0 AS score, flag FROM cpu_auto_scored""",
+)
+add(
+    "series_forecast_auto",
+    lambda s, d: rounded(T.forecast(cpu5_series(s, d), ["node_id"], T.AUTO, 48, FIVE), forecast=4),
+    """SELECT node_id, CAST(idx + period * t.range AS INTEGER) AS idx,
+       bin + period * t.range * INTERVAL 300 SECOND AS bin,
+       round(intercept + slope * (idx + period * t.range) + seasonal, 4) + 0 AS forecast
+       FROM cpu5_auto, range(1, 49) t WHERE idx >= 2016 - period AND idx + period * t.range < 2064""",
+)
+add(
+    "percentile_drift_auto",
+    lambda s, d: rounded(
+        T.decompose_anomalies(drift_series(s, d), ["data_source"], T.AUTO, 2.0)
+        .filter("flag <> 0").select("data_source", "bin", F.col("value").alias("p95"), "score", "flag"), score=4),
+    """SELECT data_source, bin, value AS p95, round(score, 4) + 0 AS score, flag
+       FROM drift_auto_scored WHERE flag <> 0""",
+)
+
 # ---- pattern mining ------------------------------------------------------------------
 COLS = ["node_id", "data_source", "query_type", "error_message"]
 SPLIT = "2024-01-24 00:00:00"

@@ -88,13 +88,65 @@ def series_trend(series: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+#: Let the operators below find the period of each series.
+AUTO = -1
+
+
+def with_period(series: DataFrame, keys: list[str], period: int) -> DataFrame:
+    """Add ``period``: the given one, or with ``AUTO`` the one found for each series (1: no season)."""
+    if period != AUTO:
+        return series.withColumn("period", F.lit(period))
+    found = find_period(series, keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "period")
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return series.join(found, same).drop(*[f"_{k}" for k in keys])
+
+
 def with_seasonal(series: DataFrame, keys: list[str], period: int) -> DataFrame:
     """Mean of the detrended value at the same place of the period."""
-    placed = with_trend(series, keys).withColumn("slot", F.col("idx") % F.lit(period))
+    placed = with_trend(with_period(series, keys, period), keys).withColumn("slot", F.col("idx") % F.col("period"))
     seasonal = F.avg(F.col("value") - F.col("trend")).over(Window.partitionBy(*keys, "slot"))
     return placed.withColumn("seasonal", seasonal)
 
 
+def autocorrelation(series: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, steps, r): autocorrelation of the detrended series at the lags 1 to half its length, as an array.
+
+    Lag sums are over the sum of squares of the whole series, so a multiple of a
+    period scores less than the period. A series without any variation has none.
+    """
+    flat = with_trend(series, keys).select(*keys, "idx", (F.col("value") - F.col("trend")).alias("d"))
+    packed = flat.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("idx", "d"))), lambda x: x["d"]).alias("d"),
+        F.count(F.lit(1)).cast("int").alias("steps"), F.sum(F.col("d") * F.col("d")).alias("squares"),
+    )
+    products = lambda p: F.zip_with(
+        F.slice("d", p + 1, F.col("steps") - p), F.slice("d", F.lit(1), F.col("steps") - p), lambda x, y: x * y)
+    at_lag = lambda p: F.aggregate(products(p), F.lit(0.0), lambda total, x: total + x)
+    lags = F.when(F.col("steps") >= 4, F.sequence(F.lit(1), F.floor(F.col("steps") / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
+    scores = F.transform(lags, lambda p: F.round(at_lag(p) / F.col("squares"), 6))
+    return packed.select(*keys, "steps", F.when(F.col("squares") > 1e-9, scores).otherwise(F.array().cast("array<double>")).alias("r"))
+
+
+def find_period(series: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, period, autocorrelation) of each series, looked for at all lags.
+
+    The period is the highest peak of the autocorrelation behind the first lag where it is not positive
+    (before that a slow series only resembles itself). A peak counts if it is above
+    2 / sqrt(steps), the bound for noise; without one the period is 1 and the score null.
+    """
+    scored = autocorrelation(series, keys)
+    dip = F.array_position(F.transform("r", lambda x: x <= 0), True)  # 1-based, so it is the lag
+    each = F.transform("r", lambda x, i: F.struct(
+        x.alias("r"), (-(i + 1)).alias("minus"), F.get("r", i - 1).alias("before"), F.get("r", i + 1).alias("behind")))
+    peaks = F.filter(each, lambda x: (
+        (dip > 0) & (-x["minus"] > dip) & (x["r"] >= x["before"]) & (x["r"] > x["behind"])
+        & (x["r"] > F.lit(2.0) / F.sqrt("steps"))))
+    best = F.array_max(F.transform(peaks, lambda x: F.struct(x["r"].alias("r"), x["minus"].alias("minus"))))
+    return scored.select(*keys, F.coalesce(-best["minus"], F.lit(1)).cast("int").alias("period"), best["r"].alias("autocorrelation"))
+
+
 def detect_period(series: DataFrame, keys: list[str], candidates: list[int]) -> DataFrame:
     """Candidate lag with the highest autocorrelation of the detrended series."""
     order = Window.partitionBy(*keys).orderBy("idx")
@@ -114,7 +166,7 @@ def detect_period(series: DataFrame, keys: list[str], candidates: list[int]) ->
 def decompose_anomalies(
     series: DataFrame, keys: list[str], period: int, threshold: float = 1.5
 ) -> DataFrame:
-    """Residuals scored by their distance beyond the 10th/90th percentile.
+    """Residuals scored by their distance beyond the 10th/90th percentile; the period may be ``AUTO``.
 
     score = (r - p90)/(p90 - p10) above the band, (r - p10)/(p90 - p10) below
     it, 0 inside it or when the band has no width. flag = sign of the score when
@@ -156,7 +208,7 @@ def anomaly_filter(scored: DataFrame, min_score: float = DEFAULTS.anomaly_score)
 
 
 def forecast(series: DataFrame, keys: list[str], period: int, horizon: int, step_s: int) -> DataFrame:
-    """Trend plus season continued ``horizon`` steps past the grid.
+    """Trend plus season continued ``horizon`` steps past the grid; the period may be ``AUTO``.
 
     The last period of a series already carries every place of the season, so
     its rows are shifted forward instead of joined to a future grid.
@@ -164,15 +216,15 @@ def forecast(series: DataFrame, keys: list[str], period: int, horizon: int, step
     fitted = with_seasonal(series, keys, period).withColumn(
         "steps", F.count(F.lit(1)).over(Window.partitionBy(*keys))
     )
-    turns = -(-horizon // period)
-    ahead = fitted.filter(F.col("idx") >= F.col("steps") - period).withColumn(
-        "turn", F.explode(F.sequence(F.lit(1), F.lit(turns)))
+    turns = F.ceil(F.lit(horizon) / F.col("period")).cast("int")
+    ahead = fitted.filter(F.col("idx") >= F.col("steps") - F.col("period")).withColumn(
+        "turn", F.explode(F.sequence(F.lit(1), turns))
     )
-    future = F.col("idx") + F.col("turn") * F.lit(period)
+    future = F.col("idx") + F.col("turn") * F.col("period")
     return ahead.filter(future < F.col("steps") + horizon).select(
         *keys,
         future.cast("int").alias("idx"),
-        F.timestamp_seconds(epoch(F.col("bin")) + F.col("turn") * F.lit(period * step_s)).alias("bin"),
+        F.timestamp_seconds(epoch(F.col("bin")) + F.col("turn") * F.col("period") * F.lit(step_s)).alias("bin"),
         (F.col("intercept") + F.col("slope") * future + F.col("seasonal")).alias("forecast"),
     )
 
