@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.frames import lists, map_arrow, ship, texts, written
-from pulsegrid.llm.tokens import byte_alphabet
+from pulsegrid.llm.frames import lists, ship, written
+from pulsegrid.llm.tokens import SIGNS, byte_alphabet
 
 #: Characters of texts whose pairs are asked for together, and the longest piece cut at once.
-BLOCK_CHARS = 1 << 24
-#: Units that a worker keeps.
-CACHE_UNITS = 300_000
+BLOCK_CHARS = 1 << 23
+#: Units of one of a worker's two generations.
+CACHE_UNITS = 200_000
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _DOUBLE = re.compile(r"\s\s")
 BLANK = "▁"
@@ -72,8 +74,27 @@ def byte_ends(coarse: list[int], sizes: list[int]) -> list[int]:
     return out
 
 
+def pack(n_a: int, n_b: int, n_groups: int, groups: str, links: list[int]) -> bytes:
+    """One unit in few bytes: four counts, the links as a << 32 | b, and the groups as text."""
+    return struct.pack(f"<4i{len(links)}q", n_a, n_b, n_groups, len(links), *links) + groups.encode()
+
+
+def follow(first: bytes, then: bytes) -> bytes:
+    """The alignment of two units one after the other."""
+    x, y = struct.unpack_from("<4i", first), struct.unpack_from("<4i", then)
+    if x[0] < 0 or y[0] < 0:
+        return BAD
+    p, q = 16 + 8 * x[3], 16 + 8 * y[3]
+    head = struct.pack("<4i", *(i + j for i, j in zip(x, y)))
+    return head + first[16:p] + then[16:q] + first[p:] + b";" + then[q:]
+
+
+#: A unit whose bytes one of the tokenizers does not give back.
+BAD = pack(-1, 0, 0, "", [])
+
+
 class Pair:
-    """Both tokenizers; ``units`` aligns many units at once."""
+    """Both tokenizers; ``align`` does many strings at once."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -95,90 +116,122 @@ class Pair:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(names)
         ]
         self.lead = self.b.piece_to_id(BLANK)
-        self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}", p) or "\n" in p for p in names)
-
-    def units(self, units: list[str]) -> list[tuple]:
-        """Per unit (n_a, n_b, n_groups, groups as text, links as a << 32 | b); n_a is -1 if bytes are not given back."""
-        spaced = [u[0] == " " for u in units]
-        left = self.a.encode_batch(units, add_special_tokens=False)
-        right = self.b.encode(
-            [u[1:] if s else u for u, s in zip(units, spaced)], return_type="proto", num_threads=1
-        )
-        return [self._unit(u, s, x, y.pieces) for u, s, x, y in zip(units, spaced, left, right)]
-
-    def _unit(self, unit: str, spaced: bool, left, right) -> tuple:
+        real = [p for i, p in enumerate(names) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}", p) or "\n" in p for p in real)
+        #: signs that no piece of B holds right behind a letter; A always cuts there
+        inside = {y for p in real for x, y in zip(p, p[1:]) if x.isalpha()}
+        self.signs = "".join(c for c in SIGNS if c not in inside) if self.cuts else ""
+        self.said = [str(i) for i in range(max(len(names), len(self.a_bytes)))]
+
+    def align(self, spaced: list[str], bare: list[str]) -> list[bytes]:
+        """Packed units: ``spaced`` follow a space that is theirs, ``bare`` stand behind other text."""
+        ahead = "\n" if self.cuts else ""  # keeps the model from putting a space in front of a bare one
+        left = self.a.encode_batch([" " + u for u in spaced] + bare, add_special_tokens=False)
+        right = self.b.encode([*spaced, *(ahead + u for u in bare)], return_type="proto", num_threads=1)
+        n = len(spaced)
+        out = [self._unit(" " + u, x, y.pieces, 1, 0) for u, x, y in zip(spaced, left, right)]
+        return out + [self._unit(u, x, y.pieces, -1, 2) for u, x, y in zip(bare, left[n:], right[n:])]
+
+    def _unit(self, unit: str, left, right, shift: int, skip: int) -> bytes:
         raw, a = unit.encode(), left.ids
-        b, b_ends = [p.id for p in right], [p.end + spaced for p in right]
-        if not spaced and b and b[0] == self.lead:  # the space that the model puts in front
-            b, b_ends = b[1:], b_ends[1:]
+        if skip:  # the space that the model puts in front, and the line break
+            right = right[skip:]
+        b, b_ends = [p.id for p in right], [p.end + shift for p in right]
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return -1, 0, 0, "", np.empty(0, np.int64)
+            return BAD
         a_ends = [e for _, e in left.offsets]
         if len(raw) != len(unit):
-            width = np.concatenate([[0], np.cumsum([len(c.encode()) for c in unit])])
-            a_ends = width[a_ends].tolist()
-        a_ends = byte_ends(a_ends, list(map(len, a_parts)))
-        b_ends = byte_ends(b_ends, list(map(len, b_parts)))
-        links, groups, i, j, from_a, from_b = [], [], 0, 0, 0, 0
+            width = [0, *accumulate(len(c.encode()) for c in unit)]
+            a_ends = byte_ends([width[e] for e in a_ends], list(map(len, a_parts)))
+            b_ends = byte_ends(b_ends, list(map(len, b_parts)))
+        elif b and (b_ends[0] <= 0 or any(x >= y for x, y in zip(b_ends, b_ends[1:]))):  # byte fallback of a control
+            b_ends = byte_ends(b_ends, list(map(len, b_parts)))
+        links, groups, said = [], [], self.said
+        i = j = from_a = from_b = 0
         while i < len(a):
             links.append(a[i] << 32 | b[j])
             x, y = a_ends[i], b_ends[j]
             i += x <= y
             j += y <= x
             if x == y:
-                groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
+                groups.append(",".join([said[k] for k in a[from_a:i]]) + "|" + ",".join([said[k] for k in b[from_b:j]]))
                 from_a, from_b = i, j
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int64)
+        return pack(len(a), len(b), len(groups), ";".join(groups), links)
 
 
-class Units(dict):
-    """Key of a unit -> its number; numbers of new units wait in ``new`` until ``settle``."""
+class Cache:
+    """Packed units of a worker. Two generations: what is used stays, what is not goes with its generation."""
 
     def __init__(self, pair: Pair):
-        super().__init__()
-        self.pair, self.new, self.groups, self.links = pair, [], [], []
-        self.counts = np.empty((0, 4), np.int64)
+        self.pair, self.new, self.old = pair, {}, {}
+
+    def _get(self, key) -> bytes | None:
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.new[key] = found
+        return found
+
+    def find(self, keys: list[str]) -> list[bytes]:
+        """The packed unit of each key; a word and the signs behind it are two units, if it is new."""
+        if len(self.new) > CACHE_UNITS:
+            self.new, self.old = {}, self.new
+        split, wanted = {}, {}
+        for key in keys:
+            if self._get(key) is None:
+                word = key.rstrip(self.pair.signs) if self.pair.signs else key
+                if word and len(word) < len(key) and word[-1].isalpha():
+                    split[key] = parts = word, (key[len(word):],)
+                    wanted.update((p, None) for p in parts if self._get(p) is None)
+                else:
+                    wanted[key] = None
+        spaced = [k for k in wanted if isinstance(k, str) and not k[:1].isspace()]
+        inner = [k for k in wanted if isinstance(k, str) and k[:1] == " "]  # units that start with two blanks
+        bare = [k for k in wanted if not isinstance(k, str) or k[:1].isspace() and k[:1] != " "]
+        found = self.pair.align(spaced + [k[1:] for k in inner], [k if isinstance(k, str) else k[0] for k in bare])
+        self.new.update(zip(spaced + inner + bare, found))
+        for key, (word, signs) in split.items():
+            self.new[key] = follow(self._get(word), self._get(signs))
+        return [self._get(k) for k in keys]
+
+
+class Block(dict):
+    """Key of a unit -> its number in a block of texts."""
 
     def __missing__(self, key: str) -> int:
         self[key] = number = len(self)
-        self.new.append(key)
         return number
 
-    def settle(self) -> None:
-        if not self.new:
-            return
-        found = self.pair.units([k if k[:1].isspace() else " " + k for k in self.new])
-        self.new = []
-        self.groups += [x[3] for x in found]
-        self.links += [x[4] for x in found]
-        self.counts = np.concatenate([self.counts, [(*x[:3], len(x[4])) for x in found]])
-
-    def forget(self) -> None:
-        self.clear()
-        self.groups, self.links, self.counts = [], [], np.empty((0, 4), np.int64)
+    def settle(self, cache: Cache) -> None:
+        """Counts (n_a, n_b, n_groups, n_links), groups and links of the units by number."""
+        packed = cache.find(list(self))
+        self.counts = np.frombuffer(b"".join([x[:16] for x in packed]), "<i4").reshape(-1, 4).astype(np.int64)
+        ends = (16 + 8 * self.counts[:, 3]).tolist()
+        self.groups = [x[e:].decode() for x, e in zip(packed, ends)]
+        self.links = np.frombuffer(b"".join([x[16:e] for x, e in zip(packed, ends)]), "<i8")
 
 
-_open: dict[tuple, Units] = {}
+_open: dict[tuple, Cache] = {}
 
 
-def _worker(a_path: str, b_path: str) -> Units:
-    """One table of units per Python worker, so that it outlives a task."""
+def _worker(a_path: str, b_path: str) -> Cache:
+    """One cache per Python worker, so that it outlives a task."""
     if (a_path, b_path) not in _open:
-        _open[a_path, b_path] = Units(Pair(a_path, b_path))
+        _open[a_path, b_path] = Cache(Pair(a_path, b_path))
     return _open[a_path, b_path]
 
 
-def _numbers(table: Units, text: str | None, most: int) -> np.ndarray:
+def _numbers(block: Block, text: str | None, most: int, cuts: bool) -> np.ndarray:
     if not text:
         return np.empty(0, np.int32)
-    if not table.pair.cuts:
-        unit = " " + text
-        return np.array([table[text if not text[0].isspace() else unit]], np.int32)
-    return np.concatenate([np.array([table[k] for k in keys], np.int32) for keys in pieces_of(text, most)])
+    if not cuts:
+        return np.array([block[" " + text if text[0].isspace() else text]], np.int32)
+    return np.concatenate([np.array([block[k] for k in keys], np.int32) for keys in pieces_of(text, most)])
 
 
-def _groups(table: Units, numbers: np.ndarray, digest: bool) -> str:
+def _groups(table: Block, numbers: np.ndarray, digest: bool) -> str:
     if not digest:
         return ";".join([table.groups[k] for k in numbers.tolist()])
     sha = hashlib.sha256()
@@ -201,19 +254,20 @@ def _blocks(df: DataFrame, key: str, text: str, a_path: str, b_path: str, digest
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
 
     def run(batches):
-        table, number = _worker(a_path, b_path), TaskContext.get().partitionId() << 32
-        keys, held, size = [], [], 0
+        cache, number = _worker(a_path, b_path), TaskContext.get().partitionId() << 32
+        table, keys, held, size = Block(), [], [], 0
 
         def flush():
-            table.settle()
+            table.settle(cache)
             every = [np.unique(x, return_counts=True) for x in held]
             bad = [bool((table.counts[u, 0] < 0).any()) for u, _ in every]
             every = [(u[:0], t[:0]) if b else (u, t) for (u, t), b in zip(every, bad)]
             local, total = np.unique(np.concatenate([u for u, _ in every]), return_inverse=True)
             times = np.bincount(total, np.concatenate([t for _, t in every]), len(local)).astype(np.int64)
-            rows = [table.links[k] for k in local.tolist()]
-            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-            pairs, at = np.unique(np.concatenate([*rows, np.empty(0, np.int64)]), return_inverse=True)
+            stop = np.cumsum(table.counts[:, 3])
+            sizes = table.counts[local, 3]
+            rows = np.repeat(stop[local] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+            pairs, at = np.unique(table.links[rows], return_inverse=True)
             weights = np.zeros(len(pairs), np.int64)
             np.add.at(weights, at, np.repeat(times, sizes))
             sums = np.array([(t @ table.counts[u]) for u, t in every], np.int64).reshape(-1, 4)
@@ -235,19 +289,16 @@ def _blocks(df: DataFrame, key: str, text: str, a_path: str, b_path: str, digest
                  pa.nulls(1, pa.string()), *[pa.nulls(1, ints)] * 2, lists([np.cumsum(sizes).astype(np.int32)], pa.int32()),
                  lists([at.astype(np.int32)], pa.int32()), lists([pairs], pa.int64()), lists([weights], pa.int64())], names,
             )
-            if len(table) > CACHE_UNITS:
-                table.forget()
 
         for batch in batches:
             for i, value in enumerate(batch.column(1)):
                 value = value.as_py()
                 keys.append(batch.column(0).slice(i, 1))
-                held.append(_numbers(table, value, block_chars))
+                held.append(_numbers(table, value, block_chars, cache.pair.cuts))
                 size += len(value or "")
                 if size >= block_chars:
                     yield from flush()
-                    number, keys, held, size = number + 1, [], [], 0
-            table.settle()
+                    number, table, keys, held, size = number + 1, Block(), [], [], 0
         if held:
             yield from flush()
 

@@ -102,11 +102,24 @@ def test_ends_are_refined_by_decoded_bytes():
     assert alignment.byte_ends([1, 1, 1, 4], [1, 1, 1, 1]) == [1, 2, 3, 4]
 
 
-def test_cache_is_bounded(spark, monkeypatch):
-    table = alignment.Units(alignment.Pair(A, B))
-    for k in range(5):
-        alignment._numbers(table, f"w{k} x", 1 << 20)
-    table.settle()
-    assert len(table) == len(table.groups) == len(table.links) == len(table.counts) == 6
-    table.forget()
-    assert not table and not table.groups
+def test_cache_is_bounded(pair, monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE_UNITS", 3)
+    cache = alignment.Cache(pair)
+    first = cache.find(["one", "two.", "three"])
+    for k in range(6):
+        cache.find(["one", f"w{k}", f"v{k}"])
+        assert len(cache.new) + len(cache.old) <= 12 and cache.new["one"] == first[0]
+    assert cache.find(["two."]) == [first[1]]
+
+
+def test_words_and_signs_apart(pair):
+    """A word with signs behind it is the same as a whole."""
+    whole, split = alignment.Cache(pair), alignment.Cache(pair)
+    whole.pair = pair
+    keys = ["word.", "été),", "a++", "x²...", "O'Neil's\"", "\nNext,", "  two;", "日本.", "I_", "don't?!"]
+    signs, pair.signs = pair.signs, ""
+    try:
+        plain = whole.find(keys)
+    finally:
+        pair.signs = signs
+    assert "," in signs and plain == split.find(keys)
