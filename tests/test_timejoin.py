@@ -168,3 +168,22 @@ def test_patterns_keep_null_and_its_text_apart(spark):
     assert plan.count("Scan") <= 3
     assert [r["rows"] for r in auto_cluster(df, ["c"]).collect()] == [50, 50]
     assert diff_patterns(df.filter("false"), F.col("spike"), ["c"]).count() == 0
+
+
+def test_exact_quantile_of_one_key_in_rounds(spark, monkeypatch):
+    from pulsegrid.operators import quantiles
+
+    rng = random.Random(17)
+    values = [rng.gauss(0, 1) * 10 ** rng.randrange(9) for _ in range(6000)] + [5.0] * 3000
+    rows = [("one", v) for v in values] + [(None, float(i)) for i in range(900)] + [("few", 1.0), ("few", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    monkeypatch.setattr(quantiles, "PARTS", 8)
+    for q in (0.0, 0.37, 0.95, 1.0):
+        # a bracket that holds nearly all values, and at most 20 of them put in order
+        got = {r.k: r.quantile for r in exact_quantile(df, ["k"], "v", q, slack=0.45, held=20).collect()}
+        for k in ("one", None, "few"):
+            own = pd.Series([v for a, v in rows if a == k])
+            assert abs(got[k] - own.quantile(q)) <= 1e-9 * max(1.0, abs(own.quantile(q)))
+        assert set(got) == {"one", None, "few"}
+    plan = exact_quantile(df, ["k"], "v", 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
