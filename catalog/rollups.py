@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import bindings as B
 from catalog.bindings import AS_OF_SQL, VIEWS
 from catalog.registry import add
-from pulsegrid.operators import joins as J, rollups as R
+from pulsegrid.operators import joins as J, rollups as R, sketches
 from pulsegrid.operators.dedup import dedup_executions
 from pulsegrid.plans import correlate as C
 
@@ -224,6 +224,22 @@ add(
     ),
     "SELECT node_id, count(DISTINCT artifact_id) AS artifacts FROM execs GROUP BY 1",
 )
+add(
+    "distinct_users_of_periods",
+    lambda s, d: sketches.distinct_values(
+        sketches.daily_sketches(B.activities(s, d), "activity_ts", "user_id", ["operation"]),
+        ["operation", F.year("partition_date").alias("year")], "users").drop("users_error"),
+    """SELECT operation, CAST(year(activity_ts) AS INTEGER) AS year, count(DISTINCT user_id) AS users
+       FROM activities GROUP BY 1, 2""",
+)
+add(
+    "active_users_change_from_sketches",
+    lambda s, d: sketches.month_change(sketches.daily_sketches(B.activities(s, d), "activity_ts", "user_id"), "users"),
+    """WITH m AS (SELECT CAST(date_trunc('month', activity_ts) AS DATE) AS month, count(DISTINCT user_id) AS users
+       FROM activities GROUP BY 1)
+       SELECT c.*, p.users AS previous, round(CAST(c.users - p.users AS DOUBLE) / p.users * 100, 2) AS change_pct
+       FROM m c LEFT JOIN m p ON c.month = p.month + INTERVAL 1 MONTH""",
+)
 add(
     "capacity_daily",
     lambda s, d: R.capacity_usage(B.capacities(s, d), ["capacity_id", "sku", "usage_date"]),

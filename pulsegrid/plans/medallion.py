@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulsegrid.config import DEFAULTS, Settings
 from pulsegrid.contracts import conform, contract_check, empty, schema_of
-from pulsegrid.operators import history, rollups as R
+from pulsegrid.operators import history, rollups as R, sketches
 from pulsegrid.operators.quality import FanoutGuard
 from pulsegrid.plans import correlate as C
-from pulsegrid.session import prepare
+from pulsegrid.session import materialize, prepare
 from pulsegrid.sources import tenant as T
 from pulsegrid.sources.storage import BATCH, in_partitions, read_table, write_bronze, write_partitions
 from pulsegrid.streaming.landing import LANDINGS, Ingest
@@ -166,3 +166,12 @@ def build_tenant(lake: Lake, landing: str) -> None:
     ]
     for table, df in T.tenant_gold(*payloads).items():
         contract_check(df, table).write.format(lake.fmt).mode("overwrite").save(lake.path(table))
+    # only the days of the payload change; a day's users are those of all payloads so far
+    fresh = sketches.daily_sketches(lake.read("gold_activities"), "activity_date", "user_id")
+    stored = lake.read(USER_DAYS)
+    whole = sketches.merged(stored, fresh)
+    lake.replace(whole if stored is None else materialize(whole, "user-days"), USER_DAYS)
+
+
+#: Sketches of the active users of each day; ``sketches.distinct_values`` merges any days of it.
+USER_DAYS = "gold_active_user_days"

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fixtures import write_landing
 from pulsegrid.contracts import report_names
+from pulsegrid.operators import sketches
 from pulsegrid.operators.quality import FanoutGuard, table_presence_report
 from pulsegrid.plans import medallion as M
 from pulsegrid.sources.storage import read_table, with_provenance
@@ -89,6 +90,13 @@ def test_tenant_payloads_to_gold(spark, tmp_path):
     M.build_tenant(lake, str(tmp_path / "in"))
     M.build_tenant(lake, str(tmp_path / "in"))
     assert [lake.read(t).count() for t in ("gold_inventory", "gold_activities", "gold_refreshables")] == [1, 1, 1]
+    days = lake.read(M.USER_DAYS)
+    assert [(str(r.partition_date), r.users) for r in sketches.distinct_values(days, ["partition_date"], "users").collect()] == [("2024-03-05", 1)]
+    (tmp_path / "in" / "activity_events_1.json").write_text(
+        '[{"Id": "2", "UserId": "v", "CreationTime": "2024-03-05T11:11:12Z"}, {"Id": "3", "UserId": "u", "CreationTime": "2024-03-06T10:11:12Z"}]')
+    M.build_tenant(lake, str(tmp_path / "in"))
+    assert sorted(r.users for r in sketches.distinct_values(lake.read(M.USER_DAYS), ["partition_date"], "users").collect()) == [1, 2]
+    assert sketches.distinct_values(lake.read(M.USER_DAYS), [], "users").first().users == 2
     assert "ItemKind" in report_names(lake.read("gold_inventory")).columns
 
 
@@ -136,3 +144,13 @@ def test_silver_of_one_day_sees_the_day_before(spark, tmp_path):
     M.ingest(one, str(tmp_path))
     M.build_silver(one, F.lit(day), F.lit(day))
     assert {r.request_id: r.network_gap_s for r in one.read("silver_network_correlated").collect()} == whole
+
+
+def test_distinct_counts_of_many_days_stay_within_their_error(spark):
+    df = spark.range(400_000).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 30 * 86400).alias("t"), (F.col("id") * 7919 % 150_000).alias("v"))
+    days = sketches.daily_sketches(df, "t", "v")
+    got = sketches.distinct_values(days).first()
+    assert days.count() == 30 and abs(got.distinct_values - 150_000) < 4 * sketches.RELATIVE_ERROR * 150_000
+    again = sketches.merged(days, sketches.daily_sketches(df.filter("id < 1000"), "t", "v"))
+    assert sketches.distinct_values(again).first() == got
