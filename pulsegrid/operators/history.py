@@ -27,35 +27,55 @@ def upsert_by_key(current: DataFrame, changes: DataFrame, keys: list[str], order
     return latest_wins(union_by_name(current, changes), keys, order)
 
 
+#: Parts of the index of an upserted table; a change reads and writes only the parts of its keys.
+INDEX_PARTS = 64
+
+
 def upsert_table(
     spark: SparkSession, path: str, changes: DataFrame, keys: list[str], order: list[Column],
     partition: str = "partition_date",
 ) -> None:
-    """Upsert into a partitioned table, rewriting only the partitions that change.
-
-    The merged rows go to a staging folder of this run first, because a plan must not
-    overwrite what it reads; a failed job can be run again at either step. The
-    list of touched partitions is the only thing the driver sees. The partition has
-    to follow from the key: a key that is stored in another partition is refused,
-    as its old row would stay.
+    """Upsert into a partitioned table, rewriting only the partitions that change; a key may move to another one.
+
+    An index beside the table (``<path>__index``: keys and the partition of their row, in
+    ``INDEX_PARTS`` parts by the hash of the keys) says where the changed keys are stored
+    now, so their old rows are found without a look at the other partitions. The merged rows go to
+    a staging folder first, because a plan must not overwrite what it reads. Then the
+    partitions are replaced, those left empty are removed, and the index follows last: a
+    job that failed anywhere in between is run again with the same changes. Only the touched
+    partitions and index parts reach the driver.
     """
     from pulsegrid.session import materialize
-    from pulsegrid.sources.storage import read_table, write_partitions
+    from pulsegrid.sources.storage import drop_partitions, read_table, write_partitions
 
-    changes = materialize(changes, "upsert-changes")
-    touched = [r[0] for r in changes.select(partition).distinct().collect()]
-    current = read_table(spark, path)
+    changes = materialize(latest_wins(changes, keys, order), "upsert-changes")
+    part = F.pmod(F.xxhash64(*keys), F.lit(INDEX_PARTS)).cast("int").alias("part")
+    placed = lambda df: df.select(*keys, F.col(partition).alias("at"), part)
+    current, index_path = read_table(spark, path), f"{path}__index"
     if current is None:
-        write_partitions(latest_wins(changes, keys, order), path, [partition])
+        write_partitions(changes, path, [partition])
+        write_partitions(placed(changes), index_path, ["part"])
         return
-    if partition not in keys:
-        moved = changes.select(*keys, partition).distinct().groupBy(*keys).count().filter("count > 1")
-        stored = current.filter(~F.col(partition).isin(touched)).join(changes.select(*keys).distinct(), keys, "left_semi")
-        if not moved.isEmpty() or not stored.isEmpty():
-            raise ValueError(f"{partition} does not follow from {keys}: a key is in several partitions")
-    merged = upsert_by_key(current.filter(F.col(partition).isin(touched)), changes, keys, order)
-    staged = materialize(merged, "upsert-merged", [partition])
+    index = read_table(spark, index_path)
+    if index is None:  # a table from before it had an index
+        write_partitions(placed(current), index_path, ["part"])
+        index = read_table(spark, index_path)
+    parts = [r[0] for r in changes.select(part).distinct().collect()]
+    index = index.filter(F.col("part").isin(parts))
+    mine = changes.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    stored_at = index.join(mine, same, "left_semi").select(F.col("at").alias(partition))
+    touched = [r[0] for r in changes.select(partition).union(stored_at).distinct().collect()]
+    inside = F.col(partition).isin([t for t in touched if t is not None]) | (F.col(partition).isNull() & F.lit(None in touched))
+    staged = materialize(upsert_by_key(current.filter(inside), changes, keys, order), "upsert-merged", [partition])
+    moved_to = staged.join(mine, same, "left_semi")
+    fresh = materialize(index.join(mine, same, "left_anti").unionByName(placed(moved_to)), "upsert-index", ["part"])
+    left = {r[0] for r in staged.select(partition).distinct().collect()}
     write_partitions(staged, path, [partition])
+    drop_partitions(spark, path, [partition], [(t,) for t in touched if t not in left])
+    write_partitions(fresh, index_path, ["part"])
 
 
 def scd2_history(
@@ -154,6 +174,61 @@ def pseudonymize(df: DataFrame, columns: list[str], salt: str) -> DataFrame:
     )
 
 
+def drop_expired(
+    spark: SparkSession, path: str, layer: str, as_of: Column, cfg: Settings = DEFAULTS, partition: str = "partition_date"
+) -> list:
+    """Remove the partitions of a stored table that ``retained`` would leave out; returns their days.
+
+    Whole folders go and no file is rewritten, so a run that was cut off just leaves days for the next one.
+    """
+    from pulsegrid.sources.storage import drop_partitions, read_table
+
+    stored = read_table(spark, path)
+    if stored is None:
+        return []
+    # days of the table only: one value per folder
+    days = stored.select(partition).distinct()
+    old = days.join(retained(days, layer, as_of, cfg, partition), partition, "left_anti").dropna()
+    expired = sorted(r[0] for r in old.collect())
+    drop_partitions(spark, path, [partition], [(day,) for day in expired])
+    return expired
+
+
+def purge_table(
+    spark: SparkSession, path: str, subjects: DataFrame, column: str, partition: str = "partition_date"
+) -> list:
+    """Remove all rows of the given subjects from a stored table; returns the partitions that were rewritten.
+
+    Only partitions that hold such a row are rewritten, others keep their files. The rows that stay are
+    written to a staging folder first. Every partition is replaced as a whole, so a run that was cut off
+    leaves each of them as it was or purged, and is run again.
+    """
+    from pulsegrid.session import materialize
+    from pulsegrid.sources.storage import BATCH, drop_partitions, read_table, write_partitions
+
+    stored = read_table(spark, path)
+    if stored is None:
+        return []
+    subjects = materialize(subjects.select(column).dropna().distinct(), "purge-subjects")
+    # bronze tables have the batch as a second level of folders
+    levels = [c for c in (partition, BATCH) if c in stored.columns]
+    folders = lambda df: {tuple(r) for r in df.select(*levels).distinct().collect()}
+    hit = folders(stored.join(subjects, column, "left_semi"))
+    if not hit:
+        return []
+    inside = F.lit(False)
+    for values in hit:
+        here = F.lit(True)
+        for level, value in zip(levels, values):
+            here &= F.col(level).eqNullSafe(F.lit(value))
+        inside |= here
+    staged = materialize(purge_subject(stored.filter(inside), subjects, column), "purge-kept", levels)
+    left = folders(staged)
+    write_partitions(staged, path, levels)
+    drop_partitions(spark, path, levels, sorted(hit - left, key=str))
+    return sorted({values[0] for values in hit}, key=str)
+
+
 def row_scope(df: DataFrame, entitlements: DataFrame, viewer: str, key: str) -> DataFrame:
     """Rows whose ``key`` the viewer may see."""
     allowed = entitlements.filter(F.col("viewer") == viewer).select(key).distinct()

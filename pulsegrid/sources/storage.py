@@ -59,6 +59,16 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: Str
         return None if schema is None else spark.createDataFrame([], schema)
 
 
+def drop_partitions(spark: SparkSession, path: str, partition_by: list[str], values: list[tuple]) -> None:
+    """Delete the folders of these values of the (leading) partition columns, with all that is below them."""
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in values:
+        parts = [names.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(partition_by, value)]
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *parts]))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def in_partitions(df: DataFrame, start: Column, end: Column, partition: str = "partition_date") -> DataFrame:
     """Date range on the partition column, so only those folders are listed and read."""
     return df.filter(F.col(partition).between(F.to_date(start), F.to_date(end)))

@@ -25,6 +25,52 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert {f: f.stat().st_mtime_ns for f in (tmp_path / "gold" / "partition_date=2024-01-01").glob("*.parquet")} == untouched
 
 
+def test_a_key_that_moves_has_one_row(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "gold")
+    rows = lambda data: spark.createDataFrame(data, "k int, v int, d string").select("k", "v", F.to_date("d").alias("partition_date"))
+    order = [F.col("v").desc()]
+    got = lambda: sorted(((r.k, r.v, str(r.partition_date)) for r in S.read_table(spark, path).collect()), key=str)
+    files = lambda day: {f: f.stat().st_mtime_ns for f in (tmp_path / "gold" / f"partition_date={day}").glob("*.parquet")}
+    H.upsert_table(spark, path, rows([(1, 1, "2024-01-01"), (2, 1, "2024-01-02"), (3, 1, "2024-01-02"), (4, 1, "2024-01-04"), (None, 1, "2024-01-01")]), ["k"], order)
+    untouched = files("2024-01-02")
+    change = rows([(1, 5, "2024-01-03"), (4, 0, "2024-01-03"), (None, 3, None), (9, 1, "2024-01-03")])
+    want = sorted([(1, 5, "2024-01-03"), (2, 1, "2024-01-02"), (3, 1, "2024-01-02"), (4, 1, "2024-01-04"), (None, 3, "None"), (9, 1, "2024-01-03")], key=str)
+    # cut off before the old rows are gone, then run again
+    drop = S.drop_partitions
+    monkeypatch.setattr(S, "drop_partitions", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+    try:
+        H.upsert_table(spark, path, change, ["k"], order)
+    except OSError:
+        pass
+    monkeypatch.setattr(S, "drop_partitions", drop)
+    for _ in range(2):
+        H.upsert_table(spark, path, change, ["k"], order)
+        assert got() == want
+    assert files("2024-01-02") == untouched and not (tmp_path / "gold" / "partition_date=2024-01-01").exists()
+    H.upsert_table(spark, path, rows([(1, 7, "2024-01-02")]), ["k"], order)
+    assert (1, 7, "2024-01-02") in got() and len(got()) == 6
+
+
+def test_expired_days_and_purged_subjects_are_gone_from_storage(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    rows = spark.createDataFrame(
+        [(u, d) for d in ("2024-01-01", "2024-02-01", "2024-02-02", "2024-02-03") for u in ("a", "b")] + [("z", "2024-02-03"), (None, "2024-02-03"), ("only", "2024-02-05")],
+        "user string, d string").select("user", F.to_date("d").alias("partition_date"))
+    S.write_bronze(rows, path)
+    S.write_bronze(rows.filter("user = 'z'"), path, batch="second")
+    cfg = DEFAULTS.with_overrides(bronze_days=20)
+    assert [str(d) for d in H.drop_expired(spark, path, "bronze", ts("2024-02-10"), cfg)] == ["2024-01-01"]
+    assert not (tmp_path / "bronze" / "partition_date=2024-01-01").exists()
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "bronze").glob("partition_date=2024-02-0[12]/*/*.parquet")}
+    gone = spark.createDataFrame([("z",), ("only",), (None,)], "user string")
+    assert {str(d) for d in H.purge_table(spark, path, gone, "user")} == {"2024-02-03", "2024-02-05"}
+    left = S.read_table(spark, path)
+    assert sorted(((r.user, str(r.partition_date)) for r in left.collect()), key=str) == sorted(
+        [(u, d) for d in ("2024-02-01", "2024-02-02", "2024-02-03") for u in ("a", "b")] + [(None, "2024-02-03")], key=str)
+    assert {f: f.stat().st_mtime_ns for f in before} == before
+    assert H.purge_table(spark, path, gone, "user") == [] and H.drop_expired(spark, str(tmp_path / "none"), "gold", ts("2024-02-10")) == []
+
+
 def test_bronze_schema_grows_and_dates_prune(spark, tmp_path):
     path = str(tmp_path / "bronze")
     one = spark.createDataFrame([("a", "2024-01-01")], "k string, d string").select("k", F.to_date("d").alias("partition_date"))
