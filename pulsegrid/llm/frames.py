@@ -88,4 +88,14 @@ def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.folder = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` whose last reader has been written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.folder)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import alignment, divergence, recompression
 from pulsegrid.llm.frames import documents
@@ -19,7 +20,7 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = recompression.repeated_windows(documents(spark, sf_dir).select("doc_id", "text"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", (F.col("n_words") - F.col("n_removed")).alias("n_kept"))
 
 
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

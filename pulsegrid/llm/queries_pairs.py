@@ -22,7 +22,8 @@ def op2_vp_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.removal_report(documents(spark, sf_dir).select("doc_id", "text"))
+    found = suffixes.removal_report(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
 
 
 QUERIES = {

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.frames import lists, map_arrow, written
+from pulsegrid.llm.frames import discard, lists, map_arrow, written
 
 WORDS = 50
 #: Phases of a round of recompression; the first round stops at symbols of n * SHARE words.
@@ -439,6 +439,7 @@ def _attempt(df: DataFrame, key: str, text: str, n: int, seed: int) -> tuple[Dat
     level = written(_longer(symbols.join(held, "u", "left"), n), "recompression-level", compression="zstd")
     plain = level.join(_whole_symbols(level), "u", "left").select("u", "k", "digest", "froms", "tos", "whole")
     work = written(_with_texts(df, key, text, plain), "recompression-texts", compression="zstd")
+    discard(symbols, level)
     windows = written(_windows(work, n, seed), "recompression-windows")
     owners = windows.groupBy("w").agg(
         F.min(F.struct(_order(), "u", "place")).alias("o"), F.max(_order()).alias("last")
@@ -452,7 +453,9 @@ def _attempt(df: DataFrame, key: str, text: str, n: int, seed: int) -> tuple[Dat
     said = F.col("body").cast("binary")
     there = F.substring(F.col("normal").cast("binary"), F.col("at").cast("int") + 1, F.octet_length("body"))
     wrong = claims.join(work.select(F.col("u").alias("owner"), "normal"), F.col("of") == F.col("owner")).filter(there != said)
-    return None if not wrong.isEmpty() else (profiles, firsts, cut)
+    right = wrong.isEmpty()
+    discard(windows, work)
+    return (profiles, firsts, cut) if right else None
 
 
 def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:

@@ -41,8 +41,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.frames import fresh, map_arrow, ship, written
-from pulsegrid.llm.passages import repeated_passages, whole_texts
+from pulsegrid.llm.frames import discard, fresh, map_arrow, ship, written
+from pulsegrid.llm.passages import passage_spans, whole_texts
 
 LENGTH, REACH, GRAM = 400, 256, 16
 BLOCK = LENGTH - REACH
@@ -377,8 +377,13 @@ def _hot_entries(work: DataFrame, hot: DataFrame) -> DataFrame:
     )
 
 
-def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(documents, spans): per row k, digest, n_bytes, copies; and (digest, text, spans) of texts partly repeated."""
+def repeated_spans(
+    df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT
+) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(documents, spans, tables): per row k, digest, n_bytes, copies; (digest, text, spans) of texts partly repeated.
+
+    Both read the written ``tables``, which are to be discarded when they are written themselves.
+    """
     spark = df.sparkSession
     profiles = written(_profiles(df, key, text), "suffix-profiles")
     distinct = profiles.groupBy("digest").agg(F.count("*").alias("copies"), F.min("k").alias("rep"))
@@ -403,6 +408,7 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
         ).select("digest", "places", "blocks", "copies", "text").dropDuplicates(["digest"]),
         "suffix-work", compression="zstd",
     )
+    discard(blocks)
     entries = written(_entries(work), "suffix-entries")
     crowded = written(
         entries.groupBy("block", "name").count().groupBy("block").count().filter(F.col("count") > hot).select("block"),
@@ -421,7 +427,8 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
             F.struct((F.col("place") - F.col("reach_l")).alias("start"), (F.col("place") + F.col("reach_r")).alias("stop"))
         )).alias("spans")
     )
-    return profiles.join(distinct, "digest").select("k", "digest", "n_bytes", "copies"), work.select("digest", "text").join(spans, "digest")
+    documents = profiles.join(distinct, "digest").select("k", "digest", "n_bytes", "copies")
+    return documents, work.select("digest", "text").join(spans, "digest"), [profiles, work, entries, crowded]
 
 
 def cut_spans(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -475,7 +482,7 @@ def _cut(partly: DataFrame) -> DataFrame:
 
 def removal_report(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """Per row: the key, n_bytes, n_removed, n_spans and kept_sha256 (of the remaining bytes)."""
-    documents, partly = repeated_spans(df, key, text, hot)
+    documents, partly, _ = repeated_spans(df, key, text, hot)
     cut = _cut(partly).select(
         F.col("digest").alias("of"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
@@ -496,11 +503,16 @@ def dedup_substrings(
 
     With ``passage_words`` repeated passages of so many words go too, also those shorter than ``LENGTH`` bytes.
     """
-    documents, partly = repeated_spans(df, key, text, hot)
+    documents, partly, tables = repeated_spans(df, key, text, hot)
     lone = documents.filter((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).select("digest").distinct()
-    spans = partly.select("digest", "spans").unionByName(whole_texts(lone))
+    # the spans are small: what was written to find them goes before the next search begins
+    spans = written(partly.select("digest", "spans").unionByName(whole_texts(lone)), "substring-spans")
+    discard(*tables)
     if passage_words:
-        spans = spans.unionByName(repeated_passages(df, passage_words, text))
+        found, tables = passage_spans(df, passage_words, text)
+        found = written(found, "passage-spans")
+        discard(*tables)
+        spans = spans.unionByName(found)
     of, changed, found = fresh(df, "digest_of"), fresh(df, "changed"), fresh(df, "spans")
     spans = spans.groupBy(F.col("digest").alias(changed)).agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias(found))
     own = F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))

@@ -79,6 +79,8 @@ class Encoder:
             self.plain = Tokenizer.from_file(path)
             self.plain.normalizer = normalizers.Sequence([])
         self._merge = None
+        #: whether the last text had no two blanks in a row
+        self.single = False
         self._words = _Kept(self._first_word, CACHE_WORDS)
         self._firsts = _Kept(self._bare, CACHE_FIRSTS)
         self._units = _Kept(self._spaced if self.kind == "byte" else self._bare, CACHE_UNITS)
@@ -170,7 +172,8 @@ class Encoder:
         if self.kind == "word":
             units = text.split()
             return list(map(self._units.__getitem__, units)), units
-        if not text or _DOUBLE.search(text):
+        self.single = bool(text) and not _DOUBLE.search(text)
+        if not self.single:
             units = _SINGLE_SPACE.split(text)
             found = list(map(self._units.__getitem__, units))
             found[0] = self._library(units[0]) if units[0] else b""
@@ -200,15 +203,21 @@ class Encoder:
         if not found:
             return self.encode(text), np.empty(0, np.int64)
         parts, units = found
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
-        marked = self.normalize(text)
-        if self.kind == "byte" and not _DOUBLE.search(marked) and MARK not in marked:
+        if self.kind == "byte" and self.single and MARK not in text:
+            # a unit for each blank of the text: count those of a sentence
+            marked = text
             for sign in SENTENCE_ENDS:
                 marked = marked.replace(sign + " ", sign + MARK)
-            counts = [x.count(" ") + 1 for x in marked.replace("\n", MARK).split(MARK)]
-            closing = np.cumsum(counts) - 1
-        else:
-            closing = np.array([k for k, u in enumerate(units) if u.endswith(SENTENCE_ENDS)], np.int64)
+            joined, ends, at = [], [], 0
+            for sentence in marked.replace("\n", MARK).split(MARK):
+                stop = at + sentence.count(" ") + 1
+                joined.append(b"".join(parts[at:stop]))
+                at = stop
+            sizes = np.fromiter(map(len, joined), np.int64, len(joined))
+            ends = np.cumsum(sizes)[sizes > 0] // 4
+            return np.frombuffer(b"".join(joined), "<i4"), ends
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
+        closing = np.array([k for k, u in enumerate(units) if u.endswith(SENTENCE_ENDS)], np.int64)
         return np.frombuffer(b"".join(parts), "<i4"), np.unique(ends[closing])
 
     def encode_normal(self, text: str) -> np.ndarray:

@@ -66,7 +66,7 @@ def test_repeated_rows_and_null_ids_stay_once(spark, tmp_path):
 
 def test_every_operator_is_registered():
     queries, checks = registered()
-    assert {int(q[2:].split("_")[0]) for q in queries if q != "pipeline"} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in queries if q != "pipeline"} == set(range(1, 14))
     assert "pipeline" in queries and set(checks) <= set(queries) <= set(entry.queries())
 
 
