@@ -27,12 +27,17 @@ def _ordered(chunks, columns: list[str]) -> pd.DataFrame:
 
 
 class ConsecutiveBad(StatefulProcessor):
-    """Counts bad polls in a row; one row when the count reaches the limit."""
+    """Counts bad polls in a row; one row when the count reaches the limit.
+
+    A source whose last poll was good has nothing to remember once the watermark has passed
+    that poll, and leaves the store.
+    """
 
     def __init__(self, limit: int):
         self.limit = limit
 
     def init(self, handle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("run", "last_sec bigint, bad_run int, run_start bigint")
 
     def handleInputRows(self, key, rows, timerValues):
@@ -49,19 +54,32 @@ class ConsecutiveBad(StatefulProcessor):
                     fired.append((key[0], int(start), int(sec), run))
             last = sec
         self.state.update((int(last), int(run), int(start)))
+        if run == 0:
+            self.handle.registerTimer((int(last) + 1) * 1000)
         yield pd.DataFrame(fired, columns=["datasource_id", "run_start_s", "fired_at_s", "polls"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        known = self.state.get()
+        if known is not None and known[1] == 0 and (known[0] + 1) * 1000 <= timerValues.getCurrentWatermarkInMs():
+            self.state.clear()
+        yield pd.DataFrame(columns=["datasource_id", "run_start_s", "fired_at_s", "polls"])
+
     def close(self) -> None:
         pass
 
 
 class CircuitBreaker(StatefulProcessor):
-    """Trailing count of fires per host; more than the limit is suppressed."""
+    """Trailing count of fires per host; more than the limit is suppressed.
+
+    When the watermark has passed the last fire and its window, no later fire can count it any
+    more: a timer takes the host out of the store.
+    """
 
     def __init__(self, limit: int, window_s: int):
         self.limit, self.window_s = limit, window_s
 
     def init(self, handle) -> None:
+        self.handle = handle
         self.recent = handle.getListState("recent", "sec bigint, n bigint")
 
     def handleInputRows(self, key, rows, timerValues):
@@ -74,8 +92,16 @@ class CircuitBreaker(StatefulProcessor):
             total += int(n)
             out.append((key[0], int(sec), int(n), total, total > self.limit))
         self.recent.put(list(recent))
+        if recent:
+            self.handle.registerTimer((recent[-1][0] + self.window_s + 1) * 1000)
         yield pd.DataFrame(out, columns=["host_id", "sec", "fires", "fires_in_window", "suppressed"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs()
+        left = [(int(s), int(n)) for s, n in self.recent.get() if (int(s) + self.window_s + 1) * 1000 > passed]
+        self.recent.put(left) if left else self.recent.clear()
+        yield pd.DataFrame(columns=["host_id", "sec", "fires", "fires_in_window", "suppressed"])
+
     def close(self) -> None:
         pass
 
@@ -128,12 +154,12 @@ class Outages(StatefulProcessor):
 
 
 def per_second_stream(df: DataFrame, key: str, time: str, delay: str, **aggs) -> DataFrame:
-    """Append-mode aggregate to one row per (key, second)."""
+    """Append-mode aggregate to one row per (key, second); ``at`` keeps the watermark for timers."""
     return (
         df.withWatermark(time, delay)
         .groupBy(key, F.window(time, "1 second").alias("w"))
         .agg(*[a.alias(n) for n, a in aggs.items()])
-        .select(key, F.unix_timestamp("w.start").alias("sec"), *aggs)
+        .select(key, F.unix_timestamp("w.start").alias("sec"), *aggs, F.window_time("w").alias("at"))
     )
 
 
@@ -146,7 +172,7 @@ def consecutive_bad(polls: DataFrame, limit: int = 3, delay: str = "10 minutes")
         ConsecutiveBad(limit),
         "datasource_id bigint, run_start_s bigint, fired_at_s bigint, polls int",
         "Append",
-        "None",
+        "EventTime",
     )
 
 
@@ -158,5 +184,5 @@ def circuit_breaker(fires: DataFrame, limit: int = 3, window_s: int = 1800, dela
         CircuitBreaker(limit, window_s),
         "host_id bigint, sec bigint, fires bigint, fires_in_window bigint, suppressed boolean",
         "Append",
-        "None",
+        "EventTime",
     )

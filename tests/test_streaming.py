@@ -108,3 +108,36 @@ def test_breaker_remembers_fires_over_batches(feed):
     out = f.run(P.circuit_breaker(f.stream("fired_at"), 3, 1800))
     got = {r.sec - T0: (r.fires_in_window, r.suppressed) for r in out.collect()}
     assert got == {0: (2, False), 100: (3, False), 1000: (4, True), 1900: (3, False), 1950: (3, False), 9000: (1, False)}
+
+
+def _kept(query):
+    """State rows of the alert rule after the last batch."""
+    return [s["numRowsTotal"] for s in query.lastProgress["stateOperators"] if "transformWithState" in s["operatorName"]][0]
+
+
+def test_silent_hosts_leave_the_store(feed):
+    f = feed("host_id bigint, s bigint")
+    f.put(*[{"host_id": h, "s": T0 + h} for h in range(40)])
+    f.put({"host_id": 1, "s": T0 + 1500})
+    f.put({"host_id": 99, "s": T0 + 2200})
+    f.run(P.circuit_breaker(f.stream("fired_at"), 3, 1800))
+    many = _kept(f.query)
+    f.put({"host_id": 99, "s": T0 + 20000})
+    f.put({"host_id": 99, "s": T0 + 40000})
+    out = f.run(P.circuit_breaker(f.stream("fired_at"), 3, 1800))
+    assert many >= 40 and _kept(f.query) < 10
+    got = {(r.host_id, r.sec - T0): r.fires_in_window for r in out.collect()}
+    assert got[1, 1500] == 2 and got[99, 2200] == 1 and got[99, 20000] == 1 and len(got) == 43
+
+
+def test_sources_that_are_well_leave_the_store(feed):
+    f = feed("datasource_id bigint, s bigint, record_id bigint, bad boolean")
+    poll = lambda d, s, bad: {"datasource_id": d, "s": T0 + s, "record_id": s, "bad": bad}
+    f.put(*[poll(d, 0, d == 7) for d in range(40)])
+    f.put(poll(7, 300, True), poll(50, 5000, False))
+    f.put(poll(50, 9000, False))
+    f.put(poll(7, 12000, True), poll(50, 20000, False))
+    f.put(poll(50, 30000, False))
+    out = f.run(P.consecutive_bad(f.stream("collected_at"), 3))
+    assert [(r.datasource_id, r.fired_at_s - T0) for r in out.collect()] == [(7, 12000)]
+    assert _kept(f.query) < 10
