@@ -77,6 +77,10 @@ REQUIRED = {
     "utilization_pct double, latency_ms double, bandwidth_bps double, partition_date date",
     "bronze_event_log": "host_id string, evt_time timestamp, os_event_id int, level string, message string, "
     "event_source string, partition_date date",
+    "bronze_activity": "activity_id string, user_alias string, activity_ts timestamp, activity_artifact string, "
+    "activity_workspace string, partition_date date",
+    "bronze_monitoring": "operation_id string, operation_name string, mon_ts timestamp, record_id string, "
+    "executing_user string, item_name string, workspace_id string, partition_date date",
     "bronze_disk_spool": "host_id string, collected_at timestamp, free_bytes bigint, free_pct double, "
     "spool_dir_bytes bigint, stream_mode_warn boolean, partition_date date",
     "bronze_inventory": "node_id string, cluster_id string, cluster_name string, node_name string, status string, "

@@ -69,10 +69,15 @@ def host_of_node(inventory: DataFrame) -> DataFrame:
 
 
 def build_silver(
-    lake: Lake, start: Column | None = None, end: Column | None = None, cfg: Settings = DEFAULTS
+    lake: Lake, start: Column | None = None, end: Column | None = None, cfg: Settings = DEFAULTS,
+    salt: str = "", plain_identities: bool = False,
 ) -> dict[str, tuple[int, int]]:
     """Silver tables of a date range (default: all). Returns rows in and out per table.
 
+    User activity (``bronze_activity``) and monitoring rows (``bronze_monitoring``) name the owners of
+    executions where these tables exist. Owners are stored as keyed hashes (``salt``)
+    unless ``plain_identities`` asks for the names.
+
     Replays and matches reach over midnight, so one day more is read on either side
     and only the wanted days are written.
     """
@@ -114,14 +119,26 @@ def build_silver(
     )
     network = bronze("bronze_network_metrics")
     guarded("silver_network_correlated", silver, lambda df: C.silver_network_correlated(df, network, cfg))
+    # the latency beside each execution has just been found and written
+    latency = wanted_days(lake.read("silver_network_correlated")).select("request_id", "tracking_id", "latency_ms")
     # the failures are few: their rows feed the guard and both lookups
     guarded("silver_triage", silver.filter(~F.col("success")),
-            lambda df: C.silver_triage(df, bronze("bronze_refresh_history"), events, cfg))
-    guarded("silver_identity_attribution", silver,
-            lambda df: C.silver_identity_attribution(df, None, None, cfg))
+            lambda df: C.silver_triage(df, bronze("bronze_refresh_history"), events, cfg, latency))
+    owners = [bronze(t) if lake.read(t) is not None else None for t in ("bronze_activity", "bronze_monitoring")]
+
+    def attributed(df: DataFrame) -> DataFrame:
+        found = C.silver_identity_attribution(df, *owners, cfg)
+        named = [c for c in IDENTITIES if c in found.columns]
+        return found if plain_identities else history.pseudonymize(found, named, salt)
+
+    guarded("silver_identity_attribution", silver, attributed)
     return counts
 
 
+#: Columns of the attribution that name a person.
+IDENTITIES = ("user_alias", "executing_user")
+
+
 #: Gold tables of facts; the others describe the present state and are replaced whole.
 FACTS = ("gold_query_performance",)
 

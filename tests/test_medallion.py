@@ -154,3 +154,40 @@ def test_distinct_counts_of_many_days_stay_within_their_error(spark):
     assert days.count() == 30 and abs(got.distinct_values - 150_000) < 4 * sketches.RELATIVE_ERROR * 150_000
     again = sketches.merged(days, sketches.daily_sketches(df.filter("id < 1000"), "t", "v"))
     assert sketches.distinct_values(again).first() == got
+
+
+def test_every_layer_and_confidence_occurs_and_owners_are_pseudonyms(spark, tmp_path):
+    import hashlib
+    import json
+
+    from fixtures import at, execution
+
+    (tmp_path / "in").mkdir()
+    write_landing(tmp_path / "in")
+    slow = {"CollectedAtUtc": at(20).replace(" ", "T") + "Z", "GatewayHostName": "H3",
+            "NicMetrics": [{"NicName": "nic0", "BytesTotalPerSec_avg": 1e6, "CurrentBandwidthBps": 1e9, "UtilizationPct": 1.0, "SampleCount": 3}],
+            "LatencyProbe": {"TargetHost": "relay", "LatencyMs_avg": 900.0, "LatencyMs_min": 1.0, "LatencyMs_max": 999.0}}
+    (tmp_path / "in" / "network_metrics_4.json").write_text(json.dumps(slow))
+    text = (tmp_path / "in" / "QueryExecutionReport1.csv").read_text()
+    text += execution("n3", "r30", "Quiet", "t8", at(50), 10, False) + "\n" + execution("n3", "r31", "Quiet", "t9", at(52), 10, False, "odd") + "\n"
+    (tmp_path / "in" / "QueryExecutionReport1.csv").write_text(text)
+    lake = M.Lake(spark, str(tmp_path / "lake"))
+    M.ingest(lake, str(tmp_path / "in"))
+    activity = spark.createDataFrame([("act", "Ann", at(19), "Share", "w")], "activity_id string, user_alias string, t string, activity_artifact string, activity_workspace string")
+    lake.append(activity.select("activity_id", "user_alias", F.col("t").cast("timestamp").alias("activity_ts"), "activity_artifact", "activity_workspace",
+                                F.to_date("t").alias("partition_date")), "bronze_activity")
+    monitoring = spark.createDataFrame([("r31", "ExecutionMetrics", at(52), "m1", "Bob", "item", "w")],
+                                       "operation_id string, operation_name string, t string, record_id string, executing_user string, item_name string, workspace_id string")
+    from pulsegrid.operators.joins import OWNER_OPERATIONS
+    lake.append(monitoring.select("operation_id", F.lit(sorted(OWNER_OPERATIONS)[0]).alias("operation_name"), F.col("t").cast("timestamp").alias("mon_ts"),
+                                  "record_id", "executing_user", "item_name", "workspace_id", F.to_date("t").alias("partition_date")), "bronze_monitoring")
+    M.build_silver(lake, salt="pepper")
+    layers = {r.request_id: r.failure_layer for r in lake.read("silver_triage").collect()}
+    assert layers["r21"] == "NETWORK_LATENCY_SPIKE"
+    assert set(layers.values()) == {"OS_SERVICE_EVENT", "SERVICE_REFRESH_ERROR", "NETWORK_LATENCY_SPIKE", "GATEWAY_LOG_ERROR", "UNKNOWN"}
+    rows = {r.request_id: r for r in lake.read("silver_identity_attribution").collect()}
+    assert {r.attribution_confidence for r in rows.values()} == {"EVALUATION_CONTEXT", "FUZZY_TIME_WINDOW", "UNATTRIBUTED"}
+    code = lambda name: hashlib.sha256(f"pepper{name}".encode()).hexdigest()
+    assert rows["r21"].user_alias == code("Ann") and rows["r31"].executing_user == code("Bob")
+    M.build_silver(lake, plain_identities=True)
+    assert {r.user_alias for r in lake.read("silver_identity_attribution").collect()} == {"Ann", None}
