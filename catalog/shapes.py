@@ -143,6 +143,14 @@ add("network_utilization",
     """SELECT host_id, nic, date_trunc('hour', collected_at) AS hour, count(*) AS samples,
        round(least(100, avg(bytes_per_s) * 8 / max(bandwidth_bps) * 100), 4) AS utilization_pct
        FROM network GROUP BY 1, 2, 3""")
+ADAPTERS = ["Ethernet 1", "isatap.local", "Teredo Tunneling", "Loopback Pseudo", "Ethernet 2"]
+add("network_utilization_physical",
+    lambda s, d: R.nic_utilization(B.network(s, d).withColumn(
+        "nic", F.get(F.array(*[F.lit(a) for a in ADAPTERS]), (F.col("latency_ms") % 5).cast("int")))),
+    f"""SELECT host_id, nic, date_trunc('hour', collected_at) AS hour, count(*) AS samples,
+       round(least(100, avg(bytes_per_s) * 8 / avg(bandwidth_bps) * 100), 4) AS utilization_pct
+       FROM (SELECT * EXCLUDE (nic), {ADAPTERS}[CAST(latency_ms AS INTEGER) % 5 + 1] AS nic FROM network)
+       WHERE nic LIKE 'Ethernet%' GROUP BY 1, 2, 3""")
 add("disk_alert_level",
     lambda s, d: B.spool(s, d).select(
         "record_id", F.round(S.free_pct(F.col("free_bytes"), F.col("total_bytes") - F.col("free_bytes")), 4).alias("pct")

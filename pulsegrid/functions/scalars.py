@@ -107,3 +107,12 @@ def refresh_seconds(start: Column, end: Column) -> Column:
 def first_19(col: Column) -> Column:
     """The ``YYYY-MM-DDTHH:MM:SS`` part of an ISO text as a timestamp."""
     return F.substring(col, 1, 19).try_cast("timestamp")
+
+
+#: Parts of the names of loopback and tunnel adapters, which carry no load of their own.
+VIRTUAL_ADAPTERS = "isatap|teredo|loopback|6to4"
+
+
+def physical_adapter(nic: Column) -> Column:
+    """Whether an adapter's name is not one of a virtual adapter; a null name counts as physical."""
+    return ~F.coalesce(F.lower(nic.cast("string")).rlike(VIRTUAL_ADAPTERS), F.lit(False))

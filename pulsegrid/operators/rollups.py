@@ -196,9 +196,20 @@ def network_rollup(correlated: DataFrame) -> DataFrame:
     )
 
 
+def nic_utilization(network: DataFrame, per: str = "hour") -> DataFrame:
+    """Average throughput of each physical adapter per host and period, in percent of its bandwidth."""
+    return (
+        network.filter(S.physical_adapter(F.col("nic")))
+        .groupBy("host_id", "nic", F.date_trunc(per, "collected_at").alias(per))
+        .agg(F.avg("bytes_per_s").alias("b"), F.avg("bandwidth_bps").alias("w"), F.count(F.lit(1)).alias("samples"))
+        .select("host_id", "nic", per, "samples", F.round(S.utilization_pct(F.col("b"), F.col("w")), 4).alias("utilization_pct"))
+    )
+
+
 def nic_representative(network: DataFrame) -> DataFrame:
-    """One row per (host, sample time): the busiest NIC stands for the host."""
-    return network.groupBy("host_id", "collected_at").agg(
+    """One row per (host, sample time): the busiest NIC stands for the host; virtual adapters do not count."""
+    real = network.filter(S.physical_adapter(F.col("nic"))) if "nic" in network.columns else network
+    return real.groupBy("host_id", "collected_at").agg(
         F.max("bytes_per_s").alias("bytes_per_s_max"),
         F.max("utilization_pct").alias("utilization_pct_max"),
         F.max("latency_ms").alias("latency_ms"),
