@@ -121,15 +121,15 @@ def identity_left_join(executions: DataFrame, monitoring: DataFrame, workspaces:
 
 
 def unattributed(executions: DataFrame, monitoring: DataFrame) -> DataFrame:
-    """Executions without an owner."""
+    """Executions without an owner. Owned operations are made one row each first, so a hot one is combined in its tasks."""
     right = owner_rows(monitoring).filter(~is_empty(F.col("executing_user")))
-    return executions.join(
-        right.select("operation_id"), executions.request_id == F.col("operation_id"), "left_anti"
-    )
+    owned = right.select("operation_id").distinct()
+    return lookup_join(executions, owned, [("request_id", "operation_id")], "left_anti")
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right.select(key), key, "left_anti")
+    """Rows whose key the right side, made one row a key, does not have."""
+    return lookup_join(left, right.select(key).distinct(), [(key, key)], "left_anti")
 
 
 def case_insensitive_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
