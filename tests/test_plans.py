@@ -1,5 +1,7 @@
 """Plans stay free of nested loops, row-wise Python and needless columns."""
 
+import re
+
 import pytest
 
 from catalog import QUERIES
@@ -72,3 +74,17 @@ def test_a_hot_key_is_split_over_tasks(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_nearest_match_sorts_its_groups_once(spark):
+    from pulsegrid.operators.timejoin import nearest_match
+
+    left = spark.range(50).selectExpr("id", "timestamp_seconds(id * 7) AS t", "cast(id % 3 AS string) AS k")
+    right = spark.range(40).selectExpr("timestamp_seconds(id * 9) AS rt", "cast(id % 3 AS string) AS rk", "concat('user', id) AS user", "id AS v")
+    found = nearest_match(left, right, "t", "rt", 30, on=[("k", "rk")], payload=["user", "v"], tie=["user"])
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert len(re.findall(r"\bWindow \[", plan)) == 1
+    got = {r["id"]: (r["user"], r["v"], r["gap_s"]) for r in found.collect()}
+    for i in range(50):
+        near = min(((abs(7 * i - 9 * j), 9 * j, f"user{j}", j) for j in range(40) if j % 3 == i % 3 and abs(7 * i - 9 * j) <= 30), default=None)
+        assert got[i] == ((near[2], near[3], near[0]) if near else (None, None, None))
