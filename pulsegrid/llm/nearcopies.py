@@ -2,14 +2,20 @@
 
 Two texts link if their sets of ``SHINGLE``-word shingles (XXH64 of each, A-Z
 lower-cased) have a Jaccard similarity of ``LEAST`` or more; components of links are
-the groups. Candidates come from MinHash: ``BANDS`` bands of ``ROWS`` minima each.
-A pair at exactly 0.8 agrees in no band with probability (1 - 0.8^6)^40 = 5e-6, at 0.9
-below 1e-13; whatever meets is verified by the true similarity.
+the groups. Equal sets become one node first.
 
-Equal sets become one node first. All members of a band's cell are candidates of its
-smallest node, so cells give as many rows as they have members. Candidates are
-verified with that node; where this leaves a candidate component in several pieces,
-every pair of nodes in different pieces is verified in groups of two chunks at most.
+Candidates are found by the SimHash search of operator 3 (``simhash``): fingerprints of
+the shingle sets, pivot distance tables, and links of at most ``BITS`` differing bits.
+Fingerprints at 0.8 are 10 bits apart on average, too far for blocks alone, so a second
+search completes the first: MinHash, ``BANDS`` bands of ``ROWS`` minima each. A pair at
+exactly 0.8 agrees in no band with probability (1 - 0.8^6)^40 = 5e-6, at 0.9 below
+1e-13. Whatever either search finds is verified by the true similarity.
+
+All members of a band's cell are candidates of its smallest node, so cells give as many
+rows as they have members; the links of fingerprints are spanning forests, and nodes of
+one fingerprint hang on its smallest. Candidates are verified one by one; where this
+leaves a candidate component in several pieces, every pair of nodes in different pieces
+is verified in groups of two chunks at most.
 
 Texts without a word are one group. A text of fewer words is one shingle. Of repeated
 rows, and of rows without a key, one stays like of any other group.
@@ -25,12 +31,14 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.components import components
 from pulsegrid.llm.frames import fresh, lists, map_arrow, written
-from pulsegrid.llm.simhash import shingle_hashes
+from pulsegrid.llm.simhash import links, majority, shingle_hashes
 
 SHINGLE = 5
 #: Least similarity as a fraction: 4 / 5.
 PART, WHOLE = 4, 5
 ROWS, BANDS = 6, 40
+#: Differing bits of two fingerprints that make a candidate.
+BITS = 12
 #: Nodes of a chunk of a large candidate component.
 CHUNK = 256
 FACTORS = np.random.default_rng(42).integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint32) | np.uint32(1)
@@ -66,25 +74,27 @@ def _digest(text: str):
 
 
 def _nodes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, t, node, bands) per row: digest of the text, hash of its shingle set, its bands."""
+    """(k, t, node, fp, bands) per row: digest of the text, hash of its shingle set, its fingerprint and bands."""
     kind = df.schema[key].dataType.simpleString()
 
     def make():
         def step(batch):
-            node, found = [], []
+            node, fp, found = [], [], []
             for x in batch.column(2):
                 shingles = shingle_set(x.as_py())
                 node.append(xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63))
+                fp.append(majority(shingles) if len(shingles) else None)
                 found.append(bands(shingles))
             return pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(node, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                ["k", "t", "node", "bands"],
+                [*batch.columns[:2], pa.array(node, pa.int64()), pa.array(fp, pa.int64()),
+                 pa.array(found, pa.list_(pa.int64()))],
+                ["k", "t", "node", "fp", "bands"],
             )
 
         return step
 
     given = df.select(F.col(f"`{key}`").alias("k"), _digest(text).alias("t"), F.col(f"`{text}`").alias("text"))
-    return map_arrow(given, make, f"k {kind}, t binary, node long, bands array<long>")
+    return map_arrow(given, make, f"k {kind}, t binary, node long, fp long, bands array<long>")
 
 
 def _sets(df: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -103,6 +113,17 @@ def _sets(df: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
 
 # -- links -------------------------------------------------------------------
+def pivot_candidates(nodes: DataFrame, bits: int = BITS) -> DataFrame:
+    """(a, b): links of fingerprints by pivot tables, each between their smallest nodes, and the nodes of one fingerprint."""
+    known = nodes.filter("fp IS NOT NULL").select("fp", "node").distinct()
+    least = written(known.groupBy("fp").agg(F.min("node").alias("b")), "near-fingerprints")
+    found = links(least.select("fp"), bits=bits).select(F.col("a").alias("x"), F.col("b").alias("y"))
+    x = least.select(F.col("fp").alias("x"), F.col("b").alias("a"))
+    y = least.select(F.col("fp").alias("y"), "b")
+    same = known.join(least, "fp").filter("node > b").select(F.col("node").alias("a"), "b")
+    return found.join(x, "x").join(y, "y").select("a", "b").unionByName(same)
+
+
 def _candidates(nodes: DataFrame) -> DataFrame:
     """(a, b): each member of a band's cell with the smallest one."""
     members = written(nodes.select("node", F.explode("bands").alias("band")), "near-bands")
@@ -169,12 +190,12 @@ def _across(open_nodes: DataFrame, sets: DataFrame, chunk: int) -> DataFrame:
 
 def _members(df: DataFrame, text: str, nodes: DataFrame, chunk: int) -> DataFrame:
     """(node, component) of the nodes that link to another one."""
-    pairs = written(_candidates(nodes), "near-pairs")
+    pairs = written(pivot_candidates(nodes).unionByName(_candidates(nodes)).distinct(), "near-pairs")
     either = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.groupBy("node").agg(F.min("t").alias("t")).join(either, "node")
     sets = written(_sets(df, text, wanted), "near-sets")
-    links = written(_verified(pairs, sets), "near-links")
-    linked = components(links)
+    verified = written(_verified(pairs, sets), "near-links")
+    linked = components(verified)
     pieces = written(
         components(pairs).withColumnRenamed("component", "group").join(linked, "node", "left")
         .select("group", "node", F.coalesce("component", "node").alias("piece")),
@@ -182,7 +203,7 @@ def _members(df: DataFrame, text: str, nodes: DataFrame, chunk: int) -> DataFram
     )
     parted = pieces.groupBy("group").agg(F.min("piece").alias("x"), F.max("piece").alias("y")).filter("x < y").select("group")
     more = written(_across(pieces.join(parted, "group", "left_semi"), sets, chunk), "near-links")
-    return linked if more.isEmpty() else components(links.unionByName(more))
+    return linked if more.isEmpty() else components(verified.unionByName(more))
 
 
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:

@@ -64,7 +64,11 @@ def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: str | None) -> int:
     """Signed, as Spark's longs are."""
-    h = shingle_hashes(text)
+    return majority(shingle_hashes(text))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits set in over half the hashes, signed; of no hash zero."""
     if not len(h):
         return 0
     ones = np.zeros(64, np.int64)
@@ -131,35 +135,29 @@ def _cells(distinct: DataFrame) -> DataFrame:
     return map_arrow(distinct, make, "cell long, fp long")
 
 
-def forest(fp: np.ndarray, other: np.ndarray | None = None) -> list[tuple[int, int]]:
+def forest(fp: np.ndarray, other: np.ndarray | None = None, bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``fp``, or between ``fp`` and ``other`` and within them."""
     every = fp if other is None else np.concatenate([fp, other])
     table = pivot_table(every.view(np.uint64)).astype(np.int16)
     unsigned = every.view(np.uint64)
-    root = list(range(len(every)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
+    root, out = np.arange(len(every)), []
     for i in range(len(every) - 1):
-        rest = np.arange(i + 1, len(every))
+        rest = np.flatnonzero(root[i + 1:] != root[i]) + i + 1
         # the coordinate-wise lower bound discards; a few columns first, as most pairs fall there
-        rest = rest[np.abs(table[rest, :4] - table[i, :4]).max(1) <= MAX_BITS]
-        rest = rest[np.abs(table[rest] - table[i]).max(1) <= MAX_BITS]
-        for j in rest[np.bitwise_count(unsigned[rest] ^ unsigned[i]) <= MAX_BITS].tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                root[b] = a
+        rest = rest[np.abs(table[rest, :4] - table[i, :4]).max(1) <= bits]
+        rest = rest[np.abs(table[rest] - table[i]).max(1) <= bits]
+        for j in rest[np.bitwise_count(unsigned[rest] ^ unsigned[i]) <= bits].tolist():
+            if root[i] != root[j]:
+                root[root == root[j]] = root[i]
                 out.append((int(every[i]), int(every[j])))
     return out
 
 
-def links(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(a, b): links that connect whatever is connected at ``MAX_BITS``; ``distinct`` has the long ``fp``."""
+def links(distinct: DataFrame, chunk: int = CHUNK, bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): links that connect whatever is connected at ``bits``; ``distinct`` has the long ``fp``.
+
+    Beyond ``MAX_BITS`` this holds for pairs that share a cell, that is, agree in two blocks.
+    """
     cells = written(_cells(distinct), "simhash-cells")
     sizes = cells.groupBy("cell").count().filter("count > 1").withColumn(
         "chunks", F.ceil(F.col("count") / chunk).cast("int")
@@ -174,7 +172,7 @@ def links(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
     def make():
         def step(batch):
-            found = [x for fps in batch.column(0) for x in forest(np.unique(fps.values.to_numpy()))]
+            found = [x for fps in batch.column(0) for x in forest(np.unique(fps.values.to_numpy()), bits=bits)]
             a, b = (list(x) for x in zip(*found)) if found else ([], [])
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 

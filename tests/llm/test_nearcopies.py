@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from corpus import docs, odd_texts, words
 
-from pulsegrid.llm import nearcopies
+from pulsegrid.llm import nearcopies, simhash
 
 
 def slow_groups(texts):
@@ -87,3 +87,25 @@ def test_one_row_of_each_group(spark):
     got = sorted(((r["doc_id"] or 0), (r["text"] or "")[:20]) for r in kept)
     assert [k for k, _ in got] == [0, 0, 1, 7, 9, 30]
     assert {(1, a[:20]), (7, c[:20]), (0, b[:20])} <= set(got)
+
+
+def test_pivot_tables_find_near_copies_without_bands(spark, monkeypatch):
+    rnd = random.Random(24)
+    rows = []
+    for g in range(30):
+        text = words(rnd, 400)
+        rows += [(10 * g, text), (10 * g + 1, edited(rnd, text, 1)), (10 * g + 2, edited(rnd, text, 1))]
+    # what MinHash alone would find is taken away: the search by pivot tables is a step of the stage
+    monkeypatch.setattr(nearcopies, "_candidates", lambda nodes: nodes.selectExpr("node AS a", "node AS b").limit(0))
+    kept = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs(spark, rows), "").collect()}
+    assert {10 * g for g in range(30)} <= kept and len(kept) <= 33
+
+
+def test_wide_links_reach_every_pair_that_agrees_in_two_blocks(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    near = [b ^ np.uint64(sum(1 << int(i) for i in rng.choice(26, 9, replace=False))) for b in base]
+    found = simhash.links(spark.createDataFrame([(int(x),) for x in {*base.tolist(), *map(int, near)}], "fp long"), bits=9).collect()
+    got = {frozenset((r["a"], r["b"])) for r in found}
+    assert {frozenset((int(a), int(b))) for a, b in zip(base, near)} <= got
+    assert all(bin((r["a"] ^ r["b"]) % (1 << 64)).count("1") <= 9 for r in found)
