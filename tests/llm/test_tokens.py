@@ -1,6 +1,7 @@
 """Operators 1, 6 and 8 against the tokenizers library."""
 
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 from pulsegrid.llm import bpe, orc_tokens, packing
 from pulsegrid.llm.frames import shared_dir
-from pulsegrid.llm.tokens import Encoder
+from pulsegrid.llm.tokens import COMMON, Encoder
 
 PATHS = [public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json")]
 
@@ -36,6 +37,42 @@ def test_encoder_equals_the_library(pair):
         assert enc.decode(enc.encode(text)) == tok.decode(reference(tok, text), skip_special_tokens=False)
 
 
+def test_ids_and_sentence_ends_in_one_call():
+    tok, enc, rnd = Tokenizer.from_file(PATHS[1]), Encoder(PATHS[1]), random.Random(5)
+    common = [chr(c) for c in range(0x2100) if not re.search(f"[^{COMMON}]", chr(c))]
+    each = [f"a{c}b 1{c}2 {c} x{c} .{c}' {c}{c}1" for c in common if c not in " \n"]
+    noise = ["".join(rnd.choice([*"aB's1!?. .\n ", rnd.choice(common)]) for _ in range(rnd.randint(1, 60))) for _ in range(800)]
+    plain = [re.sub("[ \n]+", lambda m: rnd.choice(" \n"), x) for x in noise]
+    lines = ["\n", " ", " .", ". ", "a.\nb! c", "\n'll go?", "It's 3.5 km. Isn't it? \u201cYes\u201d \u2014 no"]
+    for text in [*lines, *each, *plain]:
+        ids, ends = enc.encode_with_ends(text)
+        assert ids.dtype == np.dtype("<i4") and ids.tolist() == reference(tok, text), text
+        stops = {m.start() for m in re.finditer(r"(?<=[.!?]) |\n", text)} - {0} | {len(text)}
+        assert ends.tolist() == [len(reference(tok, text[:p])) for p in sorted(stops)], text
+    assert not enc._units  # no unit was looked up alone
+    for text in [*odd_texts(), *noise, "two  blanks. so", "tab\tand. so", "<|endoftext|> x", "\x00 a. b", "日本. 語"]:
+        assert enc.encode_with_ends(text)[0].tolist() == reference(tok, text), text
+
+
+def test_entries_encode_to_themselves(pair):
+    """Then the merge loop over ranks and the library's merges agree."""
+    path, tok = pair
+    enc = Encoder(path)
+    back = {c: b for b, c in enumerate(enc._alphabet)}
+    for i, token in enumerate(enc.tokens):
+        if token not in enc.specials:
+            body = token.removesuffix(enc.suffix) if enc.suffix else token
+            if body and valid(bytes(back[c] for c in body)) and token.endswith(enc.suffix):
+                assert [t.id for t in tok.model.tokenize(body)] == [i], token
+
+
+def valid(raw):
+    try:
+        return bool(raw.decode())
+    except UnicodeDecodeError:
+        return False
+
+
 def test_joined_leaves_equal_the_whole(pair):
     path, tok = pair
     enc = Encoder(path)
