@@ -25,6 +25,7 @@ import hashlib
 import re
 import struct
 from itertools import accumulate
+from operator import ge
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,11 @@ from pulsegrid.llm.frames import lists, ship, written
 from pulsegrid.llm.tokens import SIGNS, byte_alphabet
 
 #: Characters of texts whose pairs are asked for together, and the longest piece cut at once.
-BLOCK_CHARS = 1 << 23
-#: Units of one of a worker's two generations.
-CACHE_UNITS = 200_000
+BLOCK_CHARS = 1 << 22
+#: Units of one of a worker's two generations, and the bytes they hold (keys and packed units).
+CACHE_UNITS, CACHE_BYTES = 200_000, 1 << 26
+#: Units and their characters that the libraries align at once: what they return takes many times the text.
+ALIGN_UNITS, ALIGN_CHARS = 1 << 12, 1 << 16
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _DOUBLE = re.compile(r"\s\s")
 BLANK = "▁"
@@ -64,6 +67,24 @@ def pieces_of(text: str, most: int):
         at = stop
 
 
+def _length(key: str | tuple[str]) -> int:
+    """Characters of a unit; signs behind a word are held in a tuple."""
+    return len(key) if isinstance(key, str) else len(key[0])
+
+
+def portions(units: list, most: int, chars: int):
+    """``units`` in lists of at most ``most``, each ending with the unit that brings it to ``chars`` characters."""
+    part, size = [], 0
+    for unit in units:
+        part.append(unit)
+        size += _length(unit)
+        if len(part) >= most or size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def byte_ends(coarse: list[int], sizes: list[int]) -> list[int]:
     """Where each token ends: the library's span, refined by decoded sizes inside a shared character."""
     out, at = [], 0
@@ -145,9 +166,13 @@ class Pair:
             width = [0, *accumulate(len(c.encode()) for c in unit)]
             a_ends = byte_ends([width[e] for e in a_ends], list(map(len, a_parts)))
             b_ends = byte_ends(b_ends, list(map(len, b_parts)))
-        elif b and (b_ends[0] <= 0 or any(x >= y for x, y in zip(b_ends, b_ends[1:]))):  # byte fallback of a control
+        elif b and (b_ends[0] <= 0 or any(map(ge, b_ends, b_ends[1:]))):  # byte fallback of a control
             b_ends = byte_ends(b_ends, list(map(len, b_parts)))
-        links, groups, said = [], [], self.said
+        said = self.said
+        if len(a) == len(b) and a_ends == b_ends:  # token for token
+            return pack(len(a), len(b), len(a), ";".join([f"{said[x]}|{said[y]}" for x, y in zip(a, b)]),
+                        [x << 32 | y for x, y in zip(a, b)])
+        links, groups = [], []
         i = j = from_a = from_b = 0
         while i < len(a):
             links.append(a[i] << 32 | b[j])
@@ -164,20 +189,24 @@ class Cache:
     """Packed units of a worker. Two generations: what is used stays, what is not goes with its generation."""
 
     def __init__(self, pair: Pair):
-        self.pair, self.new, self.old = pair, {}, {}
+        self.pair, self.new, self.old, self.size = pair, {}, {}, 0
+
+    def _put(self, key, packed: bytes) -> None:
+        self.new[key] = packed
+        self.size += len(packed) + _length(key)
 
     def _get(self, key) -> bytes | None:
         found = self.new.get(key)
         if found is None:
             found = self.old.get(key)
             if found is not None:
-                self.new[key] = found
+                self._put(key, found)
         return found
 
     def find(self, keys: list[str]) -> list[bytes]:
         """The packed unit of each key; a word and the signs behind it are two units, if it is new."""
-        if len(self.new) > CACHE_UNITS:
-            self.new, self.old = {}, self.new
+        if len(self.new) > CACHE_UNITS or self.size > CACHE_BYTES:
+            self.new, self.old, self.size = {}, self.new, 0
         split, wanted = {}, {}
         for key in keys:
             if self._get(key) is None:
@@ -187,13 +216,15 @@ class Cache:
                     wanted.update((p, None) for p in parts if self._get(p) is None)
                 else:
                     wanted[key] = None
-        spaced = [k for k in wanted if isinstance(k, str) and not k[:1].isspace()]
-        inner = [k for k in wanted if isinstance(k, str) and k[:1] == " "]  # units that start with two blanks
-        bare = [k for k in wanted if not isinstance(k, str) or k[:1].isspace() and k[:1] != " "]
-        found = self.pair.align(spaced + [k[1:] for k in inner], [k if isinstance(k, str) else k[0] for k in bare])
-        self.new.update(zip(spaced + inner + bare, found))
+        for part in portions(list(wanted), ALIGN_UNITS, ALIGN_CHARS):
+            spaced = [k for k in part if isinstance(k, str) and not k[:1].isspace()]
+            inner = [k for k in part if isinstance(k, str) and k[:1] == " "]  # units that start with two blanks
+            bare = [k for k in part if not isinstance(k, str) or k[:1].isspace() and k[:1] != " "]
+            found = self.pair.align(spaced + [k[1:] for k in inner], [k if isinstance(k, str) else k[0] for k in bare])
+            for key, packed in zip(spaced + inner + bare, found):
+                self._put(key, packed)
         for key, (word, signs) in split.items():
-            self.new[key] = follow(self._get(word), self._get(signs))
+            self._put(key, follow(self._get(word), self._get(signs)))
         return [self._get(k) for k in keys]
 
 

@@ -112,6 +112,27 @@ def test_cache_is_bounded(pair, monkeypatch):
     assert cache.find(["two."]) == [first[1]]
 
 
+def test_cache_is_bounded_in_bytes(pair, monkeypatch):
+    """Units without blanks can be whole texts, so their number alone bounds nothing."""
+    monkeypatch.setattr(alignment, "CACHE_BYTES", 3000, raising=False)
+    cache = alignment.Cache(pair)
+    for k in range(8):
+        cache.find([f"{k}" * 2000])
+        assert len(cache.new) == 1 and len(cache.old) == (k > 0)
+
+
+def test_libraries_get_few_units_at_once(pair, monkeypatch):
+    monkeypatch.setattr(alignment, "ALIGN_UNITS", 5, raising=False)
+    monkeypatch.setattr(alignment, "ALIGN_CHARS", 40, raising=False)
+    keys = [f"w{k}," for k in range(30)] + ["x" * 50, "\nline", "  two", "été"] + ["y" * 30 + str(k) for k in range(4)]
+    asked, align = [], pair.align
+    monkeypatch.setattr(pair, "align", lambda spaced, bare: asked.append([*spaced, *bare]) or align(spaced, bare))
+    found = alignment.Cache(pair).find(keys)
+    assert max(map(len, asked)) <= 5 and all(sum(map(len, x[:-1])) < 40 + 50 for x in asked)
+    monkeypatch.undo()
+    assert found == alignment.Cache(pair).find(keys)
+
+
 def test_words_and_signs_apart(pair):
     """A word with signs behind it is the same as a whole."""
     whole, split = alignment.Cache(pair), alignment.Cache(pair)
