@@ -192,6 +192,26 @@ def test_removal_equals_brute_force(spark, hot):
     assert suffixes.removal_report(docs(spark, [])).count() == 0
 
 
+def test_crowded_blocks_write_few_rows(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh \n") for _ in range(n))
+    passage, longer = text(300), text(420)
+    rows = [(k, text(rnd.randint(250, 400)) + passage + text(rnd.randint(250, 400))) for k in range(40)]
+    rows += [(100 + k, text(300) + longer + text(300)) for k in range(4)]
+    counts, write = Counter(), suffixes.written
+
+    def counted(df, purpose, **options):
+        out = write(df, purpose, **options)
+        counts[purpose] = max(counts[purpose], out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "written", counted)
+    got = suffixes.removal_report(docs(spark, rows), hot=8).collect()
+    assert sorted(tuple(r) for r in got) == slow_removal(rows)
+    # not one row for each string around an anchor
+    assert max(counts.values()) <= 8 * sum(len(suffixes.anchors(t.encode())) for _, t in rows)
+
+
 def test_texts_without_the_repeats(spark):
     rows = copied_rows()
     df = docs(spark, rows, extra=True)
