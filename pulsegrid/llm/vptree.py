@@ -9,8 +9,10 @@ k-th best so far. ``relax`` (1 or more) multiplies that lower bound: factor one
 exact, more prunes more and may miss some.
 
 Equal vectors are one entry of the index with their ``k + 1`` smallest ids, which
-is all that the k nearest can show of them. A tree is a row of a written table, so
-a lost executor costs one search. All queries of a block descend a tree together.
+is all that the k nearest can show of them. Trees are written, in pieces of some rows, so
+a lost executor costs one search. A task gets the pieces of a tree once, or of the few
+trees of its bin, and then all queries in Arrow batches; the queries of a batch descend
+a tree together.
 The scores returned are computed again in double precision on the vectors as given,
 one dot product after another, so that equal vectors have equal scores.
 
@@ -28,8 +30,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import map_arrow, ship, written
 
-#: Different vectors of a shard and of a leaf, queries of a block.
-SHARD_ROWS, LEAF_ROWS, BLOCK_ROWS = 16_384, 256, 512
+#: Different vectors of a shard, of a leaf and of a written row.
+SHARD_ROWS, LEAF_ROWS, PIECE_ROWS = 16_384, 256, 2_048
+#: Up to so many bins hold one tree each; then they fill up to that many trees, which a task holds at once.
+BINS, BIN_TREES = 64, 8
+#: Row groups of the written trees: rows are large, so their size is looked at after each.
+GROUPS = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 #: Entries kept beyond k, for scores that rounding puts in another order.
 SPARE = 4
 #: Recall measured on the given vectors: 1.0 up to a factor of 3, 0.99 at 5.
@@ -116,7 +122,7 @@ def valid_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def build(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """The written index: one tree per row with the different vectors of its shard; and the shard count."""
+    """The written index, a tree with the different vectors of each shard, in pieces; and the shard count."""
     ranked = rows.withColumn("class", F.xxhash64("v")).distinct().withColumn(
         "rank", F.row_number().over(Window.partitionBy("class", "v").orderBy("id"))
     )
@@ -132,27 +138,67 @@ def build(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tuple[DataFr
 
     def plant(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        v = np.array(table.column("v").to_pylist())
+        v = table.column("v").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
         extra = np.sqrt(np.maximum(top - (v * v).sum(1), 0))
         tree = Tree(np.concatenate([v, extra[:, None]], axis=1))
-        order = tree.order
+        points, ids = tree.points[tree.order], table.column("ids").combine_chunks().take(pa.array(tree.order))
         nodes = np.array([(s, e, a, b, r) for s, e, _, r, a, b in tree.nodes])
         vantage = np.array([tree.points[max(x[2], 0)] for x in tree.nodes])
-        ids = table.column("ids").to_pylist()
+        starts = range(0, len(points), PIECE_ROWS)
+        n = len(starts)
         return pa.table({
-            "shard": pa.array([shard], pa.int32()),
-            "points": pa.array([tree.points[order].tobytes()]),
-            "nodes": pa.array([nodes.tobytes()]),
-            "vantage": pa.array([vantage.tobytes()]),
-            "width": pa.array([tree.points.shape[1]], pa.int32()),
-            "ids": pa.array([[ids[x] for x in order.tolist()]], pa.list_(pa.list_(pa.int64()))),
+            "shard": pa.array([shard] * n, pa.int32()),
+            "piece": pa.array(range(n), pa.int32()),
+            "points": pa.array([points[a:a + PIECE_ROWS].tobytes() for a in starts], pa.binary()),
+            # of the whole tree, with its first piece
+            "nodes": pa.array([nodes.tobytes()] + [b""] * (n - 1), pa.binary()),
+            "vantage": pa.array([vantage.tobytes()] + [b""] * (n - 1), pa.binary()),
+            "ids": pa.array([ids[a:a + PIECE_ROWS].to_pylist() for a in starts], pa.list_(pa.list_(pa.int64()))),
         })
 
     ship(rows.sparkSession)
     trees = dealt.groupBy("shard").applyInArrow(
-        plant, "shard int, points binary, nodes binary, vantage binary, width int, ids array<array<long>>"
+        plant, "shard int, piece int, points binary, nodes binary, vantage binary, ids array<array<long>>"
     )
-    return written(trees, "vector-trees"), shards
+    return written(trees, "vector-trees", **GROUPS), shards
+
+
+class Planted:
+    """A tree of the index, put together from its pieces."""
+
+    def __init__(self, shard: int):
+        self.shard, self.pieces = shard, []
+        self.points = None
+
+    def add(self, row: dict[str, pa.Scalar]) -> None:
+        ids = row["ids"].values
+        if not self.pieces:
+            self.nodes = np.frombuffer(row["nodes"].as_buffer()).reshape(-1, 5).copy()
+            self.vantage = np.frombuffer(row["vantage"].as_buffer()).reshape(len(self.nodes), -1).copy()
+        points = np.frombuffer(row["points"].as_buffer()).reshape(-1, self.vantage.shape[1])
+        # copies: the batch they come with goes
+        self.pieces.append((points.copy(), ids.value_lengths().to_numpy().copy(), ids.flatten().to_numpy().copy()))
+
+    def grown(self) -> Planted:
+        if self.points is None:
+            points, sizes, ids = zip(*self.pieces)
+            self.points, self.ids = np.concatenate(points), np.concatenate(ids)
+            self.ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            self.pieces = [()]
+        return self
+
+    def best(self, names: list[int], q: np.ndarray, k: int, relax: float) -> list[list[tuple[float, int]]]:
+        """For each query (-score, id) of its k nearest, best first."""
+        place, _ = search(self.points, self.nodes, self.vantage, np.pad(q, ((0, 0), (0, 1))), k + 1 + SPARE, relax)
+        near = self.points[place]
+        score = np.zeros(place.shape)
+        for c in range(q.shape[1]):  # the same order of additions for every vector
+            score += near[:, :, c] * q[:, c, None]
+        out = []
+        for name, at, found in zip(names, place.tolist(), score.tolist()):
+            own = [(-s, x) for p, s in zip(at, found) if p >= 0 for x in self.ids[self.ends[p]:self.ends[p + 1]].tolist() if x != name]
+            out.append(sorted(own)[:k])
+        return out
 
 
 def nearest(
@@ -160,41 +206,47 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest rows (not the query's own id), for (id, v) tables."""
     index, shards = build(rows, k, shard_rows)
-    count = queries.count()
-    blocks = max(1, -(-count // BLOCK_ROWS))
-    dealt = (
-        queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        .groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("q"))
-        # the stated queries meet every shard, block by block
-        .withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    held = min(BIN_TREES, -(-shards // BINS))  # trees of a bin
+    bins = -(-shards // held)
+    bin_of = F.pmod(F.col("shard"), F.lit(bins))
+    # the stated queries meet every shard
+    asked = queries.select("id", "v").distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    met = (
+        index.withColumn("bin", bin_of).unionByName(asked, allowMissingColumns=True)
+        .repartitionById(bins, "bin").sortWithinPartitions("bin", F.col("shard").asc_nulls_last(), "piece")
+        .select("bin", "shard", "points", "nodes", "vantage", "ids", "id", "v")
     )
-    met = dealt.join(index, F.col("to") == F.col("shard")).select("q", "points", "nodes", "vantage", "width", "ids")
 
     def make():
+        bin_, trees = None, []
+
         def step(batch):
+            nonlocal bin_
             out_q, out_id, out_s = [], [], []
-            for i in range(batch.num_rows):
-                q = batch.column(0)[i].values
-                width = batch.column(4)[i].as_py()
-                names = q.field(0).to_numpy()
-                own = q.field(1).flatten().to_numpy().reshape(len(names), width - 1)
-                points = np.frombuffer(batch.column(1)[i].as_buffer()).reshape(-1, width)
-                nodes = np.frombuffer(batch.column(2)[i].as_buffer()).reshape(-1, 5)
-                vantage = np.frombuffer(batch.column(3)[i].as_buffer()).reshape(-1, width)
-                ids = batch.column(5)[i].values
-                place, _ = search(points, nodes, vantage, np.pad(own, ((0, 0), (0, 1))), k + 1 + SPARE, relax)
-                for name, vector, at in zip(names.tolist(), own, place):
-                    at = at[at >= 0]
-                    score = np.zeros(len(at))
-                    for c in range(width - 1):  # the same order of additions for every vector
-                        score += points[at, c] * vector[c]
-                    best: list[tuple] = []
-                    for p, s in zip(at.tolist(), score.tolist()):
-                        best += [(-s, x) for x in ids[p].as_py() if x != name]
-                    best.sort()
-                    out_q += [name] * len(best[:k])
-                    out_id += [x for _, x in best[:k]]
-                    out_s += [-s for s, _ in best[:k]]
+            which, shard = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            query = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            at = 0
+            while at < batch.num_rows:
+                if which[at] != bin_:
+                    bin_ = which[at]
+                    trees.clear()
+                if not query[at]:
+                    if not trees or trees[-1].shard != shard[at]:
+                        trees.append(Planted(shard[at]))
+                    trees[-1].add({c: batch.column(c)[at] for c in ("points", "nodes", "vantage", "ids")})
+                    at += 1
+                    continue
+                stop = at + 1
+                while stop < batch.num_rows and which[stop] == bin_:
+                    stop += 1
+                names = batch.column(6)[at:stop].to_pylist()
+                own = batch.column(7)[at:stop].flatten().to_numpy().reshape(len(names), -1)
+                for name, *best in zip(names, *(tree.grown().best(names, own, k, relax) for tree in trees)):
+                    kept = sorted(set().union(*best))[:k]
+                    out_q += [name] * len(kept)
+                    out_id += [x for _, x in kept]
+                    out_s += [-s for s, _ in kept]
+                at = stop
             return pa.RecordBatch.from_arrays(
                 [pa.array(out_q, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_s, pa.float64())],
                 ["query_id", "vec_id", "score"],

@@ -138,6 +138,27 @@ def test_neighbours_and_recall(spark, shard_rows, relax):
         assert found == want
 
 
+def test_trees_are_sent_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(k, v.astype(np.float32).tolist(), "x", 1) for k, v in enumerate(rng.normal(size=(12_000, 4)))]
+    sent, send = [], vptree.map_arrow
+
+    def seen(df, make, schema):
+        sent.extend(r[0] for r in df.selectExpr("length(points)").collect())
+        return send(df, make, schema)
+
+    monkeypatch.setattr(vptree, "map_arrow", seen)
+    # a third of the rows ask: their batches are many, and each meets every tree
+    valid = vptree.valid_vectors(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding")
+    got = vptree.nearest(valid, valid.filter("id % 3 = 0"), 5, 1.0, shard_rows=6_000).collect()
+    v = np.array([r[1] for r in rows])
+    for q in (0, 6_000, 11_997):
+        s = -(v @ v[q])
+        s[q] = np.inf
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == s.argsort()[:5].tolist()
+    assert sum(x or 0 for x in sent) == 12_000 * 5 * 8 and max(x or 0 for x in sent) <= 1 << 20
+
+
 def test_odd_vectors_take_no_part(spark):
     rows = [(0, [1.0, 2.0], "x", 1), (1, [2.0, 1.0], None, None), (20, None, "x", 1), (2, [], "x", 1), (3, [0.0, 0.0], "x", 1),
             (4, [1.0, None], "x", 1), (5, [float("nan"), 1.0], "x", 1), (6, [float("inf"), 1.0], "x", 1),
