@@ -233,6 +233,26 @@ def test_crowded_blocks_write_few_rows(spark, monkeypatch):
     assert max(counts.values()) <= 8 * sum(len(suffixes.anchors(t.encode())) for _, t in rows)
 
 
+def test_crowded_blocks_in_the_substrings_stage(spark, monkeypatch):
+    rnd = random.Random(10)
+    text = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage, longer = text(300), text(420)
+    rows = [(k, text(rnd.randint(250, 400)) + passage + text(rnd.randint(250, 400))) for k in range(30)]
+    rows += [(100 + k, text(300) + longer + text(300)) for k in range(3)]
+    most, write = [], suffixes.written
+
+    def counted(df, purpose, **options):
+        out = write(df, purpose, **options)
+        most.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "written", counted)
+    got = suffixes.dedup_substrings(docs(spark, rows), hot=8, passage_words=51).collect()
+    # each text is one word, so only bytes repeat
+    assert {(r["doc_id"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in got} == {(x[0], x[4]) for x in slow_removal(rows)}
+    assert max(most) <= 8 * sum(len(suffixes.anchors(t.encode())) for _, t in rows)
+
+
 def test_texts_without_the_repeats(spark):
     rows = copied_rows()
     df = docs(spark, rows, extra=True)
